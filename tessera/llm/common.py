@@ -5,7 +5,9 @@ Every helper keeps memory bounded by a slice of rows, never by a partition or a
 
 from __future__ import annotations
 
+import atexit
 import tempfile
+import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -38,11 +40,11 @@ def without(df: DataFrame, names: list[str]) -> DataFrame:
     return df.select(*[F.col(f"`{c}`") for c in df.columns if c.lower() not in taken])
 
 
-def add_columns(df: DataFrame, inputs: list[Column], fields: list[T.StructField], make: Callable) -> DataFrame:
+def add_columns(df: DataFrame, inputs: list[Column], fields: list[T.StructField], make: Callable, as_arrow: bool = False) -> DataFrame:
     """df plus the columns that make() computes per row from inputs; older columns of those names are replaced.
 
     make() is called once per task and returns a function from lists of Python values (one list per input)
-    to a list of value lists (one per field). Rows keep their order and their other columns.
+    to a list of value lists (one per field); as_arrow hands over Arrow arrays instead. Rows keep their order and their other columns.
     """
     names = [f.name for f in fields]
     temp = [f"__in_{i}" for i in range(len(inputs))]
@@ -56,13 +58,40 @@ def add_columns(df: DataFrame, inputs: list[Column], fields: list[T.StructField]
         for batch in batches:
             for part in slices(batch):
                 n = part.num_columns - len(temp)
-                made = row(*[part.column(n + i).to_pylist() for i in range(len(temp))])
-                new = [pa.array(v, type=f.type) for v, f in zip(made, arrow, strict=True)]
+                given = [part.column(n + i) for i in range(len(temp))]
+                made = row(*(given if as_arrow else [c.to_pylist() for c in given]))
+                new = [v if isinstance(v, pa.Array) else pa.array(v, type=f.type) for v, f in zip(made, arrow, strict=True)]
                 yield pa.RecordBatch.from_arrays([*part.columns[:n], *new], names=[*part.schema.names[:n], *names])
 
     return fed.mapInArrow(run, schema)
 
 
+def cut_table(df: DataFrame) -> DataFrame:
+    """As cut(), as a compressed table in the same folder, for intermediates too large to keep as plain rows.
+
+    The table is deleted when the driver ends.
+    """
+    spark = df.sparkSession
+    prepare_checkpoints(spark)
+    path = f"{spark.sparkContext.getCheckpointDir()}/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    if not _TABLES:
+        atexit.register(_delete_tables, spark)
+    _TABLES.append(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+_TABLES: list[str] = []
+
+
+def _delete_tables(spark: SparkSession) -> None:
+    if spark.sparkContext._jsc is None:  # stopped already
+        return
+    for path in _TABLES:
+        where = spark._jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def prepare_checkpoints(spark: SparkSession) -> None:
     """Use the shared folder that the cluster names; only where none is named (tests), one of our own."""
     sc = spark.sparkContext

@@ -6,10 +6,12 @@ from tessera.llm.ann import op5_graph_ann
 from tessera.llm.html import op9_line_blocks
 from tessera.llm.packing import op6_best_fit_packing
 from tessera.llm.simhash import op10_simhash
+from tessera.llm.substrings import op3_suffix_dedup
 from tessera.llm.tokenizer import op1_byte_bpe
 
 QUERIES = {
     "op1_byte_bpe": op1_byte_bpe,
+    "op3_suffix_dedup": op3_suffix_dedup,
     "op5_graph_ann": op5_graph_ann,
     "op6_best_fit_packing": op6_best_fit_packing,
     "op9_line_blocks": op9_line_blocks,
