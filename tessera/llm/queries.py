@@ -5,6 +5,8 @@ from __future__ import annotations
 from tessera.llm.ann import op5_graph_ann
 from tessera.llm.html import op9_line_blocks
 from tessera.llm.packing import op6_best_fit_packing
+from tessera.llm.pii import op8_feistel_pii
+from tessera.llm.quality import op4_importance
 from tessera.llm.simhash import op10_simhash
 from tessera.llm.substrings import op3_suffix_dedup
 from tessera.llm.tokenizer import op1_byte_bpe
@@ -12,8 +14,10 @@ from tessera.llm.tokenizer import op1_byte_bpe
 QUERIES = {
     "op1_byte_bpe": op1_byte_bpe,
     "op3_suffix_dedup": op3_suffix_dedup,
+    "op4_importance": op4_importance,
     "op5_graph_ann": op5_graph_ann,
     "op6_best_fit_packing": op6_best_fit_packing,
+    "op8_feistel_pii": op8_feistel_pii,
     "op9_line_blocks": op9_line_blocks,
     "op10_simhash": op10_simhash,
 }
