@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from tessera.llm.ann import op5_graph_ann
 from tessera.llm.html import op9_line_blocks
+from tessera.llm.licenses import op7_license_scan
 from tessera.llm.packing import op6_best_fit_packing
 from tessera.llm.pii import op8_feistel_pii
 from tessera.llm.quality import op4_importance
@@ -17,6 +18,7 @@ QUERIES = {
     "op4_importance": op4_importance,
     "op5_graph_ann": op5_graph_ann,
     "op6_best_fit_packing": op6_best_fit_packing,
+    "op7_license_scan": op7_license_scan,
     "op8_feistel_pii": op8_feistel_pii,
     "op9_line_blocks": op9_line_blocks,
     "op10_simhash": op10_simhash,
