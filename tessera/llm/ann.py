@@ -134,7 +134,8 @@ def build_index(df: DataFrame, id_col: str, vector_col: str, copies: int, shard_
         t = t.take(pa.array(np.argsort(np.array([i[0] for i in t.column("ids").to_pylist()]), kind="stable")))
         graph, entry = build_graph(_matrix(t.column("vector"), np.float32), degree, beam, alpha)
         extra = [pa.array(np.arange(len(t)), pa.int32()), pa.array(graph.astype(np.int32).tolist(), pa.list_(pa.int32())), pa.array(np.full(len(t), entry), pa.int32())]
-        return pa.Table.from_arrays([*t.columns, *extra], names=[*t.column_names, "node", "neighbours", "entry"])
+        own = [pa.int32(), pa.int32(), pa.list_(pa.float64()), pa.list_(pa.int64())]
+        return pa.Table.from_arrays([*(c.cast(kind) for c, kind in zip(t.columns, own, strict=True)), *extra], names=[*t.column_names, "node", "neighbours", "entry"])
 
     return dealt.groupBy("dim", "shard").applyInArrow(build, "dim int, shard int, vector array<double>, ids array<long>, node int, neighbours array<int>, entry int")
 
@@ -147,7 +148,7 @@ def search(index: DataFrame, queries: DataFrame, id_col: str, vector_col: str, k
     shards = index.select("dim", "shard").distinct()
     asked = asked.withColumn("block", F.pmod(F.xxhash64("query_id"), F.lit(blocks)).cast("int")).withColumn("dim", F.size("query"))
     left = index.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-    right = asked.join(shards, "dim")
+    right = asked.join(shards, "dim").select("query_id", "query", *[F.col(c).alias(c) for c in ("dim", "shard", "block")])
 
     def walk(t: pa.Table, q: pa.Table) -> pa.Table:
         out: list[list] = [[], [], []]
