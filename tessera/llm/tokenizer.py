@@ -16,6 +16,8 @@ import base64
 from functools import lru_cache
 from itertools import chain
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -88,14 +90,16 @@ class Encoder:
         for p, ids in zip(rest, self.processor.encode(mapped, num_threads=1) if mapped else [], strict=True):
             self.cache[p] = tuple(ids)
 
-    def __call__(self, texts: list[str | None]) -> list[list[int]]:
+    def __call__(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+        """Offsets of the texts' ids, and the ids of all texts in a row."""
         split = [self.find(t) if t else [] for t in texts]
         wanted = set(chain.from_iterable(split))
         if len(self.cache) > CACHE_SIZE:
             self.cache = {}
         self.learn(wanted.difference(self.cache))
         look = self.cache.__getitem__
-        return [list(chain.from_iterable(map(look, pieces))) for pieces in split]
+        ids = [np.fromiter(chain.from_iterable(map(look, pieces)), np.int32) for pieces in split]
+        return np.cumsum([0, *map(len, ids)], dtype=np.int32), np.concatenate([np.empty(0, np.int32), *ids])
 
 
 @lru_cache(maxsize=4)
@@ -111,9 +115,9 @@ def encode(df: DataFrame, ranks_path: str, pattern: str, text: Column | str = "t
 
     def make():
         encoder = Encoder(model, ranks, pattern)
-        return lambda texts: [encoder(texts)]
+        return lambda texts: [pa.ListArray.from_arrays(*map(pa.array, encoder(texts.to_pylist())))]
 
-    return add_columns(df, [text], [T.StructField(out, T.ArrayType(T.IntegerType(), False))], make)
+    return add_columns(df, [text], [T.StructField(out, T.ArrayType(T.IntegerType()))], make, as_arrow=True)
 
 
 def decode(df: DataFrame, ranks_path: str, ids: Column | str = "ids", out: str = "decoded") -> DataFrame:
@@ -124,9 +128,15 @@ def decode(df: DataFrame, ranks_path: str, ids: Column | str = "ids", out: str =
     def make():
         pieces = {rank: piece for piece, rank in ranks.items()}
         look = pieces.__getitem__
-        return lambda lists: [[b"".join(map(look, x)) if x else b"" for x in lists]]
 
-    return add_columns(df, [ids], [T.StructField(out, T.BinaryType())], make)
+        def row(lists: pa.ListArray) -> list:
+            flat = lists.flatten().to_numpy(zero_copy_only=False).tolist()
+            ends = np.cumsum(lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)).tolist()
+            return [[b"".join(map(look, flat[a:b])) for a, b in zip([0, *ends], ends, strict=False)]]
+
+        return row
+
+    return add_columns(df, [ids], [T.StructField(out, T.BinaryType())], make, as_arrow=True)
 
 
 def op1_byte_bpe(spark, sf_dir: str) -> DataFrame:
