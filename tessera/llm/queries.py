@@ -10,10 +10,13 @@ from tessera.llm.pii import op8_feistel_pii
 from tessera.llm.quality import op4_importance
 from tessera.llm.simhash import op10_simhash
 from tessera.llm.substrings import op3_suffix_dedup
+from tessera.llm.search import op2_bm25_search
 from tessera.llm.tokenizer import op1_byte_bpe
+from tessera.plans.ship import ship
 
-QUERIES = {
+_OPERATORS = {
     "op1_byte_bpe": op1_byte_bpe,
+    "op2_bm25_search": op2_bm25_search,
     "op3_suffix_dedup": op3_suffix_dedup,
     "op4_importance": op4_importance,
     "op5_graph_ann": op5_graph_ann,
@@ -24,4 +27,16 @@ QUERIES = {
     "op10_simhash": op10_simhash,
 }
 
+
+
+def _shipped(query):
+    def run(spark, sf_dir):
+        ship(spark)
+        return query(spark, sf_dir)
+
+    return run
+
+
+QUERIES = {name: _shipped(query) for name, query in _OPERATORS.items()}
+
 ORACLE: dict[str, str] = {}
