@@ -230,8 +230,11 @@ def removed_spans(runs: list[dict] | None, threshold: int) -> list[tuple[int, in
     return out
 
 
-def deduplicate(df: DataFrame, threshold: int = 100, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """df plus removed_spans array<struct<start, end>> (bytes) and kept binary: the bytes that stay."""
+def deduplicate(df: DataFrame, threshold: int = 100, id_col: str = "doc_id", text_col: str = "text", as_text: bool = False) -> DataFrame:
+    """df plus removed_spans array<struct<start, end>> (bytes) and kept binary: the bytes that stay.
+
+    as_text gives kept as a string instead, without the pieces of characters that the cuts leave.
+    """
     if threshold < FIRST:
         raise ValueError(f"threshold must be {FIRST} or more")
     # null ids come last: they are told apart from the largest id by their tag only
@@ -259,7 +262,7 @@ def deduplicate(df: DataFrame, threshold: int = 100, id_col: str = "doc_id", tex
 
     fields = [
         T.StructField("removed_spans", T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType())]))),
-        T.StructField("kept", T.BinaryType()),
+        T.StructField("kept", T.StringType() if as_text else T.BinaryType()),
     ]
 
     def apply():
@@ -269,7 +272,8 @@ def deduplicate(df: DataFrame, threshold: int = 100, id_col: str = "doc_id", tex
                 raw, gone = text.encode(), removed_spans(found, threshold)
                 edges = [0, *(x for span in gone for x in span), len(raw)]
                 spans.append([{"start": a, "end": b} for a, b in gone])
-                kept.append(b"".join(raw[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True)))
+                stays = b"".join(raw[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True))
+                kept.append("".join(raw[a:b].decode("utf-8", "ignore") for a, b in zip(edges[::2], edges[1::2], strict=True)) if as_text else stays)
             return [spans, kept]
 
         return row
