@@ -118,9 +118,9 @@ def _forest(a: np.ndarray, b: np.ndarray | None, radius: int) -> tuple[list[int]
 
 
 def _links(batches: Iterator[pa.RecordBatch], radius: int) -> Iterator[pa.RecordBatch]:
-    """Spanning links of the groups in sorted rows (v, key, i, j, block, fp); a group may run over batches."""
+    """Spanning links of the groups in sorted rows (key, i, j, block, fp); a group may run over batches."""
     carry: pa.Table | None = None
-    names = ["v", "key", "i", "j"]
+    names = ["key", "i", "j"]
 
     def solve(rows: pa.Table) -> tuple[np.ndarray, np.ndarray]:
         cols = [rows.column(n).to_numpy() for n in names]
@@ -133,20 +133,20 @@ def _links(batches: Iterator[pa.RecordBatch], radius: int) -> Iterator[pa.Record
         # groups of a few rows, the bulk, all at once: each row against the next, the one after, ...
         few = sizes <= 16
         row_group = np.repeat(np.arange(len(starts)), sizes)
-        small = np.flatnonzero(few[row_group] & (cols[2][:] == cols[3][:]))
+        small = np.flatnonzero(few[row_group] & (cols[1] == cols[2]))
         f, g = fp[small], row_group[small]
         for d in range(1, 16):
             if len(f) <= d:
                 break
-            hit = (g[d:] == g[:-d]) & (np.bitwise_count(f[d:] ^ f[:-d]) <= radius)
+            hit = (g[d:] == g[:-d]) & (f[d:] != f[:-d]) & (np.bitwise_count(f[d:] ^ f[:-d]) <= radius)
             lefts.append(f[:-d][hit].view(np.int64))
             rights.append(f[d:][hit].view(np.int64))
-        for k in np.flatnonzero(~few | (cols[2][starts] != cols[3][starts])).tolist():
+        for k in np.flatnonzero(~few | (cols[1][starts] != cols[2][starts])).tolist():
             at = slice(starts[k], starts[k] + sizes[k])
-            if cols[2][at.start] == cols[3][at.start]:
+            if cols[1][at.start] == cols[2][at.start]:
                 x, y = _forest(fp[at], None, radius)
             else:
-                own = block[at] == cols[2][at.start]
+                own = block[at] == cols[1][at.start]
                 x, y = _forest(fp[at][own], fp[at][~own], radius)
             lefts.append(np.array(x, np.uint64).view(np.int64))
             rights.append(np.array(y, np.uint64).view(np.int64))
@@ -173,16 +173,17 @@ def _links(batches: Iterator[pa.RecordBatch], radius: int) -> Iterator[pa.Record
 
 def links(distinct: DataFrame, radius: int, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
     """distinct (fp long, each once) -> a, b: links within the radius that connect all that the radius connects."""
-    signed = [m - (1 << 64) if m >> 63 else m for m in covering_masks(radius)]
-    masks = F.array(*[F.struct(F.lit(v).alias("v"), F.lit(m).alias("mask")) for v, m in enumerate(signed)])
-    keyed = distinct.select("fp", F.explode(masks).alias("t")).select(F.col("t.v").alias("v"), F.col("fp").bitwiseAND(F.col("t.mask")).alias("key"), "fp")
-    sizes = keyed.groupBy("v", "key").agg(F.count("*").alias("n")).where("n > 1")
+    masks = F.array(*[F.lit(m - (1 << 64) if m >> 63 else m) for m in covering_masks(radius)])
+    tables = distinct.select("fp", F.explode(F.sequence(F.lit(0), F.lit((1 << (radius + 1)) - 2))).alias("v"))
+    # a bucket goes by the hash of its table and its kept bits; buckets that share a hash are compared together
+    bucket = F.xxhash64("v", F.col("fp").bitwiseAND(F.element_at(masks, F.col("v") + 1)))
+    sizes = tables.groupBy(bucket.alias("key")).agg(F.count("*").alias("n")).where("n > 1")
     blocks = F.ceil(F.col("n") / F.lit(bucket_rows)).cast("int")
     own = F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int")
-    met = keyed.join(sizes, ["v", "key"]).withColumn("blocks", blocks).withColumn("block", own)
-    dealt = met.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select("v", "key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "fp")
+    met = tables.join(sizes, bucket == F.col("key")).withColumn("blocks", blocks).withColumn("block", own)
+    dealt = met.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select("key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "fp")
     n = int(distinct.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    sorted_rows = dealt.repartition(n, "v", "key", "i", "j").sortWithinPartitions("v", "key", "i", "j")
+    sorted_rows = dealt.repartition(n, "key", "i", "j").sortWithinPartitions("key", "i", "j", "fp")
     return sorted_rows.mapInArrow(lambda it: _links(it, radius), "a long, b long")
 
 
