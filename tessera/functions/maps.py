@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -10,11 +11,12 @@ from pyspark.sql import functions as F
 
 def merge(*maps: Column) -> Column:
     """All entries; a later map's value wins. Null maps count as empty."""
-    out = maps[0]
-    for m in maps[1:]:
-        kept = F.map_filter(out, lambda k, _, m=m: ~F.coalesce(F.map_contains_key(m, k), F.lit(False)))
-        out = F.coalesce(F.map_concat(kept, m), out, m)
-    return out
+
+    def two(a: Column, b: Column) -> Column:
+        kept = F.map_filter(a, lambda k, _: ~F.coalesce(F.map_contains_key(b, k), F.lit(False)))
+        return F.coalesce(F.map_concat(kept, b), a, b)
+
+    return reduce(two, maps)
 
 
 def merge_with(combine: Callable[[Column], Column], *maps: Column) -> Column:
@@ -75,4 +77,5 @@ def delete_in(record: Column, path: list[str]) -> Column:
 def unzip(rows: Column, width: int) -> Column:
     """An array of `width` arrays from an array of arrays; rows that are too short end all of them."""
     whole = F.filter(rows, lambda r: F.size(r) >= width)
-    return F.array(*[F.transform(whole, lambda r, i=i: r[i]) for i in range(width)])
+    column = lambda i: F.transform(whole, lambda r: r[i])
+    return F.array(*map(column, range(width)))
