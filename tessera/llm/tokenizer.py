@@ -75,31 +75,44 @@ class Encoder:
         self.processor = sentencepiece.SentencePieceProcessor(model_proto=model)
         self.ranks = ranks
         self.to_chars = dict(enumerate(byte_characters()))
-        self.cache: dict[str, tuple[int, ...]] = {}
-
-    def learn(self, pieces: set[str]) -> None:
-        raw = {p: p.encode() for p in pieces}
-        rest = []
-        for p, b in raw.items():
-            rank = self.ranks.get(b)
-            if rank is None:
-                rest.append(p)
-            else:
-                self.cache[p] = (rank,)
-        mapped = [raw[p].decode("latin-1").translate(self.to_chars) for p in rest]
-        for p, ids in zip(rest, self.processor.encode(mapped, num_threads=1) if mapped else [], strict=True):
-            self.cache[p] = tuple(ids)
+        self.forget()
+
+    def forget(self) -> None:
+        """Start afresh: codes of pre-tokens, and by code the place of their ids in one flat array."""
+        self.code: dict[str, int] = {}
+        self.ids, self.start, self.size = np.empty(1 << 16, np.int32), np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int64)
+        self.used = 0
+
+    def learn(self, pieces: list[str]) -> None:
+        raw = [p.encode() for p in pieces]
+        ranks = list(map(self.ranks.get, raw))
+        mapped = [b.decode("latin-1").translate(self.to_chars) for b, r in zip(raw, ranks, strict=True) if r is None]
+        merged = iter(self.processor.encode(mapped, num_threads=1) if mapped else ())
+        found = [next(merged) if r is None else (r,) for r in ranks]
+        size = np.fromiter(map(len, found), np.int64, len(found))
+        flat = np.fromiter(chain.from_iterable(found), np.int32)
+        at, known = np.cumsum(size) - size + self.used, len(self.code)
+        while self.used + len(flat) > len(self.ids):
+            self.ids = np.concatenate([self.ids, np.empty_like(self.ids)])
+        while known + len(pieces) > len(self.start):
+            self.start, self.size = (np.concatenate([x, np.zeros_like(x)]) for x in (self.start, self.size))
+        self.ids[self.used : self.used + len(flat)] = flat
+        self.start[known : known + len(pieces)], self.size[known : known + len(pieces)] = at, size
+        self.used += len(flat)
+        self.code.update(zip(pieces, range(known, known + len(pieces)), strict=True))
 
     def __call__(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """Offsets of the texts' ids, and the ids of all texts in a row."""
         split = [self.find(t) if t else [] for t in texts]
-        wanted = set(chain.from_iterable(split))
-        if len(self.cache) > CACHE_SIZE:
-            self.cache = {}
-        self.learn(wanted.difference(self.cache))
-        look = self.cache.__getitem__
-        ids = [np.fromiter(chain.from_iterable(map(look, pieces)), np.int32) for pieces in split]
-        return np.cumsum([0, *map(len, ids)], dtype=np.int32), np.concatenate([np.empty(0, np.int32), *ids])
+        if len(self.code) > CACHE_SIZE:
+            self.forget()
+        if new := set(chain.from_iterable(split)).difference(self.code):
+            self.learn(list(new))
+        codes = np.fromiter(map(self.code.__getitem__, chain.from_iterable(split)), np.int64)
+        size = self.size[codes]
+        ends = np.concatenate([[0], np.cumsum(size)])
+        ids = self.ids[np.repeat(self.start[codes] - ends[:-1], size) + np.arange(ends[-1])]
+        return ends[np.cumsum([0, *map(len, split)])].astype(np.int32), ids
 
 
 @lru_cache(maxsize=4)
