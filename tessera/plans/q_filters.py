@@ -122,8 +122,8 @@ def markers(spark, d):
     return table(spark, d, "documents").groupBy("source").agg(style.alias("style"), any_(F.col("lang") == "de").alias("has_de"))
 
 
-@query("prj_82_overlay", "PRJ-82 SET-12 PRJ-79", "SELECT DISTINCT p_brand AS name FROM part WHERE p_size > 45 UNION SELECT DISTINCT p_brand FROM part WHERE p_retailprice > 1900 EXCEPT SELECT DISTINCT p_brand FROM part WHERE p_brand LIKE '%5'")
+@query("prj_82_overlay", "PRJ-82 SET-12 PRJ-79", "SELECT DISTINCT p_brand AS name FROM part WHERE p_size > 45 UNION SELECT DISTINCT p_brand FROM part WHERE p_retailprice > 990 EXCEPT SELECT DISTINCT p_brand FROM part WHERE p_brand LIKE '%5'")
 def overlay(spark, d):
     p = table(spark, d, "part")
-    some = p.where("p_size > 45").select(F.col("p_brand").alias("name")).union(p.where("p_retailprice > 1900").select("p_brand"))
+    some = p.where("p_size > 45").select(F.col("p_brand").alias("name")).union(p.where("p_retailprice > 990").select("p_brand"))
     return some.where(~F.col("name").like("%5")).distinct()

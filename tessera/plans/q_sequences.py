@@ -183,10 +183,10 @@ def cons(spark, d):
     return t.select("conv_id").distinct().select("conv_id", F.lit(-1).cast("long").alias("ord"), F.lit("start").alias("role")).union(t.select("conv_id", "ord", "role"))
 
 
-@query("set_06_new_names", "SET-06 SET-07 SET-11", "SELECT DISTINCT p_brand || '/' || p_size AS name FROM part WHERE p_retailprice > 1000 EXCEPT SELECT p_brand || '/' || p_size FROM part WHERE p_retailprice < 1500")
+@query("set_06_new_names", "SET-06 SET-07 SET-11", "SELECT DISTINCT p_brand || '/' || p_size AS name FROM part WHERE p_retailprice > 950 EXCEPT SELECT p_brand || '/' || p_size FROM part WHERE p_retailprice < 930 AND p_size < 25")
 def new_names(spark, d):
     p = table(spark, d, "part").withColumn("name", F.concat_ws("/", "p_brand", "p_size"))
-    return p.where("p_retailprice > 1000").select("name").subtract(p.where("p_retailprice < 1500").select("name"))
+    return p.where("p_retailprice > 950").select("name").subtract(p.where("p_retailprice < 930 AND p_size < 25").select("name"))
 
 
 @query("set_13_unknown_words", "SET-13 SCL-51", "SELECT doc_id, array_to_string(list_sort(list_distinct(list_filter(regexp_extract_all(regexp_replace(text, '[^ -~]', 'x', 'g'), '\\b[A-Z][a-z]{2,}\\b'), lambda w: w NOT IN ('The', 'And', 'Les', 'Des', 'Der', 'Die')))), ' ') AS names FROM documents WHERE lang = 'en'")

@@ -69,7 +69,7 @@ def commit_record(raw: DataFrame, manifest: str, pr: str = r"\(#(\d+)\)") -> Dat
         F.transform("__files", lambda f: f["path"]).alias("files_changed"),
         F.aggregate("__files", F.lit(0), lambda a, f: a + f["added"]).alias("insertions"),
         F.aggregate("__files", F.lit(0), lambda a, f: a + f["deleted"]).alias("deletions"),
-        F.filter(F.transform("__files", lambda f: f["path"]), is_test_path).alias("test_files_touched"),
+        F.filter(F.transform("__files", lambda f: f["path"]), lambda p: is_test_path(p)).alias("test_files_touched"),
         F.exists("__files", lambda f: F.element_at(F.split(f["path"], "/"), -1).rlike(manifest)).alias("touches_manifest"),
     )
 
