@@ -18,6 +18,8 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 #: A slice handed to Python code ends at so many rows or bytes, whichever comes first (one row at least).
 SLICE_ROWS, SLICE_BYTES = 256, 4 << 20
+#: Rows that go to a Python worker at a time.
+BATCH_ROWS = 1_024
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -46,6 +48,7 @@ def add_columns(df: DataFrame, inputs: list[Column], fields: list[T.StructField]
     make() is called once per task and returns a function from lists of Python values (one list per input)
     to a list of value lists (one per field); as_arrow hands over Arrow arrays instead. Rows keep their order and their other columns.
     """
+    bound_batches(df.sparkSession)
     names = [f.name for f in fields]
     temp = [f"__in_{i}" for i in range(len(inputs))]
     kept = without(df, names)
@@ -92,8 +95,16 @@ def _delete_tables(spark: SparkSession) -> None:
         where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
+def bound_batches(spark: SparkSession) -> None:
+    """Let Python workers get BATCH_ROWS rows at a time at most, so that a task's memory is bounded on both sides."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= BATCH_ROWS:
+        spark.conf.set(name, str(BATCH_ROWS))
+
+
 def prepare_checkpoints(spark: SparkSession) -> None:
     """Use the shared folder that the cluster names; only where none is named (tests), one of our own."""
+    bound_batches(spark)
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="tessera-"))

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import slices
+from tessera.llm.common import bound_batches, slices
 
 #: Wording of public licenses and notices; <...> stands for up to twelve words of any kind.
 TEMPLATES: dict[str, str] = {
@@ -180,6 +180,7 @@ def scan(text: str | None) -> list[dict]:
 
 def find_licenses(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """id, license, start, end, saved, n_differences, differences: one row per finding."""
+    bound_batches(df.sparkSession)
     fed = df.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

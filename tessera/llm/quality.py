@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.llm.common import add_columns, cut
+from tessera.llm.common import add_columns, bound_batches, cut
 
 #: Buckets of the models, a power of two, and labelled rows that the target is fitted on at most.
 BUCKETS, TARGET_ROWS = 1 << 17, 20_000
@@ -82,6 +82,7 @@ def count_models(df: DataFrame, text: Column, is_target: Column, buckets: int) -
         some = np.flatnonzero(raw)
         yield pa.RecordBatch.from_arrays([pa.array(x) for x in (some, raw[some], target[some])], names=["bucket", "raw", "target"])
 
+    bound_batches(df.sparkSession)
     fed = df.select(text.alias("text"), is_target.alias("good"))
     return fed.mapInArrow(run, "bucket long, raw long, target long").groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("target").alias("target"))
 

@@ -29,6 +29,8 @@ from tessera.llm.components import components
 
 #: Fingerprints of a bucket compared in one block; larger buckets are dealt over pairs of blocks.
 BUCKET_ROWS = 8_192
+#: Rows of all tables that a task makes.
+TASK_ROWS = 500_000
 BITS = 64
 
 
@@ -174,7 +176,9 @@ def _links(batches: Iterator[pa.RecordBatch], radius: int) -> Iterator[pa.Record
 def links(distinct: DataFrame, radius: int, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
     """distinct (fp long, each once) -> a, b: links within the radius that connect all that the radius connects."""
     masks = F.array(*[F.lit(m - (1 << 64) if m >> 63 else m) for m in covering_masks(radius)])
-    tables = distinct.select("fp", F.explode(F.sequence(F.lit(0), F.lit((1 << (radius + 1)) - 2))).alias("v"))
+    # few fingerprints make many rows: tasks of a bounded number of rows keep the counting in memory
+    parts = max(1, -(-distinct.count() * ((1 << (radius + 1)) - 1) // TASK_ROWS))
+    tables = distinct.select("fp").repartition(parts, "fp").select("fp", F.explode(F.sequence(F.lit(0), F.lit((1 << (radius + 1)) - 2))).alias("v"))
     # a bucket goes by the hash of its table and its kept bits; buckets that share a hash are compared together
     bucket = F.xxhash64("v", F.col("fp").bitwiseAND(F.element_at(masks, F.col("v") + 1)))
     sizes = tables.groupBy(bucket.alias("key")).agg(F.count("*").alias("n")).where("n > 1")

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.llm.common import add_columns, cut_table, without
+from tessera.llm.common import add_columns, bound_batches, cut_table, without
 
 #: Bytes of the strings whose names are sorted first.
 FIRST = 32
@@ -40,7 +40,7 @@ FIRST = 32
 STRETCH = 1 << 19
 
 #: Texts among which repeats are settled before the shuffle.
-EMIT_ROWS = 2_048
+EMIT_ROWS = 1_024
 #: Columns that the operator adds for itself.
 _DOC, _TAG, _SPANS = "__tessera_doc", "__tessera_tag", "__tessera_spans"
 _ODD, _MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
@@ -237,6 +237,7 @@ def deduplicate(df: DataFrame, threshold: int = 100, id_col: str = "doc_id", tex
     """
     if threshold < FIRST:
         raise ValueError(f"threshold must be {FIRST} or more")
+    bound_batches(df.sparkSession)
     # null ids come last: they are told apart from the largest id by their tag only
     doc = F.coalesce(F.col(id_col).cast("long"), F.lit((1 << 63) - 1))
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
