@@ -58,9 +58,11 @@ DECIDING = {
 }
 #: Wording that makes a line a candidate.
 CANDIDATE = re.compile(r"licen[cs]e|copyright|warrant|redistribut|permission (?:is hereby|to use)|public domain|creative commons|\bCC[ -]?(?:BY|0)\b", re.I)
-#: Characters and short lines around such wording that belong to its block, templates that are confirmed for a
-#: block at a time, in order of size saved, and the share of a template's words that may differ.
-NEAR, AROUND, BEST, MAY_DIFFER = 200, 2, 8, 0.1
+#: Characters around such wording that are compressed, and that the wording of a winner may take in; templates
+#: that are confirmed for a block at a time, in order of size saved; share of a template's words that may differ.
+NEAR, WIDE, BEST, MAY_DIFFER = 150, 2_000, 10, 0.1
+#: Bytes that a template must save for its wording to be compared word by word.
+LEAST_SAVED = 8
 WORD = re.compile(r"<\w+>|[^\W_]+")
 
 
@@ -70,28 +72,12 @@ def words(text: str) -> list[tuple[str, int, int]]:
 
 
 def blocks(text: str) -> list[tuple[int, int]]:
-    """Spans around license wording: NEAR characters each way inside a line, and the short lines next to it."""
+    """Spans around license wording; spans that touch are one."""
     out: list[tuple[int, int]] = []
     for hit in CANDIDATE.finditer(text):
-        if out and hit.end() <= out[-1][1]:
-            first, last = out.pop()[0], hit.end()
-        else:
-            first, last = hit.start(), hit.end()
-        lo, hi = text.rfind("\n", 0, first) + 1, text.find("\n", last)
-        hi = len(text) if hi < 0 else hi
-        first, last = max(lo, first - NEAR), min(hi, last + NEAR)
-        for _ in range(AROUND):
-            if first == lo and lo > 0:
-                above = text.rfind("\n", 0, lo - 1) + 1
-                if lo - above <= NEAR:
-                    first = lo = above
-            if last == hi and hi < len(text):
-                below = text.find("\n", hi + 1)
-                below = len(text) if below < 0 else below
-                if below - hi <= NEAR:
-                    last = hi = below
-        if out and first <= out[-1][1] + 1:
-            out[-1] = (min(first, out[-1][0]), max(last, out[-1][1]))
+        first, last = max(0, hit.start() - NEAR), min(len(text), hit.end() + NEAR)
+        if out and first <= out[-1][1]:
+            out[-1] = (out[-1][0], last)
         else:
             out.append((first, last))
     return out
@@ -139,42 +125,51 @@ def differences(template: list[str], found: list[tuple[str, int, int]]) -> tuple
     return out, a, b
 
 
+def _outside(spans: list[tuple[int, int]], start: int, end: int) -> list[tuple[int, int]]:
+    """Parts of spans that lie outside of start..end."""
+    return [(x, y) for a, b in spans for x, y in ((a, min(b, start)), (max(a, end), b)) if x < y]
+
+
+def _confirm(text: str, lowered: str, a: int, b: int, lo: int, hi: int) -> dict | None:
+    """The finding of a block a..b, whose wording may reach from lo to hi."""
+    _, made = _tools()
+    ranked = rank(text[a:b])[:BEST]
+    # exact wording first, the longest template that fits; then the closest with few differences
+    for saved, name in sorted(ranked, key=lambda x: -len(made[x[1]][0])):
+        for hit in made[name][2].finditer(lowered, lo, hi):
+            if hit.start() < b and hit.end() > a:
+                return {"license": name, "start": hit.start(), "end": hit.end(), "saved": saved, "differences": []}
+    there, best = words(text[lo:hi]), None
+    for saved, name in ranked:
+        own = made[name][0]
+        got = differences(own, there) if saved >= LEAST_SAVED else None
+        if got is None or len(got[0]) > MAY_DIFFER * len(own) or any(d[1:] in DECIDING for d in got[0]):
+            continue
+        start, end = lo + there[got[1]][1], lo + there[got[2] - 1][2]
+        if start < b and end > a and (best is None or len(got[0]) < len(best["differences"])):
+            best = {"license": name, "start": start, "end": end, "saved": saved, "differences": got[0]}
+    return best
+
+
 def scan(text: str | None) -> list[dict]:
     """Findings of a text: license, start, end (characters), saved (bytes), differing words, in order of place."""
     out: list[dict] = []
-    if not text:
+    todo = blocks(text) if text else []
+    if not todo:
         return out
-    _, made = _tools()
-    todo = blocks(text)
+    lowered = text.lower()
+    if len(lowered) != len(text):  # a few letters change length in lower case
+        lowered = "".join(c.lower() if len(c.lower()) == 1 else c for c in text)
     while todo:
-        a, b = todo.pop()
-        part = text[a:b]
-        lowered = part.lower()
-        if len(lowered) != len(part):  # a few letters change length in lower case
-            lowered = "".join(c if len(c.lower()) != 1 else c.lower() for c in part)
-        found = None
-        # exact wording first, the longest template that fits; then the closest with few differences
-        ranked = rank(part)[:BEST]
-        for saved, name in sorted(ranked, key=lambda x: -len(made[x[1]][0])):
-            if hit := made[name][2].search(lowered):
-                found = {"license": name, "start": a + hit.start(), "end": a + hit.end(), "saved": saved, "differences": []}
-                break
-        if found is None:
-            there = words(part)
-            best = None
-            for saved, name in ranked:
-                own = made[name][0]
-                got = differences(own, there)
-                if got is None or len(got[0]) > MAY_DIFFER * len(own) or any(d[1:] in DECIDING for d in got[0]):
-                    continue
-                if best is None or len(got[0]) < best[0]:
-                    best = (len(got[0]), {"license": name, "start": a + there[got[1]][1], "end": a + there[got[2] - 1][2], "saved": saved, "differences": got[0]})
-            found = best[1] if best else None
+        a, b = todo.pop(0)
+        if not CANDIDATE.search(text, a, b):
+            continue
+        lo = max([0, a - WIDE, *(f["end"] for f in out if f["end"] <= a)])
+        hi = min([len(text), b + WIDE, *(f["start"] for f in out if f["start"] >= b)])
+        found = _confirm(text, lowered, a, b, lo, hi)
         if found:
             out.append(found)
-            for x, y in ((a, found["start"]), (found["end"], b)):
-                if CANDIDATE.search(text, x, y):
-                    todo.append((x, y))
+            todo = _outside([(a, b), *todo], found["start"], found["end"])
     return sorted(out, key=lambda f: (f["start"], f["license"]))
 
 
