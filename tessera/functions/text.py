@@ -103,3 +103,21 @@ def cites(text: Column, name: Column, value: Column, gap: int = 20) -> Column:
     near = F.concat(F.lit(r"\b"), name, F.lit(rf"\b[^.;\n]{{0,{gap}}}\b"), value, F.lit(r"\b"))
     back = F.concat(F.lit(r"\b"), value, F.lit(rf"\b[^.;\n]{{0,{gap}}}\b"), name, F.lit(r"\b"))
     return F.rlike(text, near) | F.rlike(text, back)
+
+
+def replace_section(text: Column, title: str, body: str) -> Column:
+    """Text with the body of a `## title` section replaced, or the section put at the end; doing it twice changes nothing."""
+    import re
+
+    new = f"## {title}\n\n{body}\n"
+    pattern = rf"(?m)^## {re.escape(title)}\n[\s\S]*?(?=^## |\z)"
+    flat = new.replace("\\", r"\\").replace("$", r"\$")
+    return F.when(text.rlike(pattern), F.regexp_replace(text, pattern, flat)).otherwise(F.concat(F.regexp_replace(text, r"\n*\z", "\n\n"), F.lit(new)))
+
+
+def linked_names(text: Column, title: str, known: Column) -> Column:
+    """Sorted titles of the Markdown links in a section that are known."""
+    import re
+
+    section = F.regexp_extract(text, rf"(?m)^## {re.escape(title)}\n([\s\S]*?)(?=^## |\z)", 1)
+    return F.array_sort(F.array_intersect(F.array_distinct(F.regexp_extract_all(section, F.lit(r"\[`?([^\]`]+)`?\]\("), F.lit(1))), known))

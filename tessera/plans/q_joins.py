@@ -195,3 +195,13 @@ def module_scan(spark, d):
     docs = table(spark, d, "documents").where(F.contains(F.lower("source"), F.lit("src1")))
     hits = ((F.length("text") - F.length(F.replace("text", F.lit("the"), F.lit("")))) / 3).cast("long")
     return docs.groupBy("lang").agg(F.count("*").alias("docs"), F.sum(hits).alias("hits"))
+
+
+@query("udf_11_graph_tools", "UDF-11 UDF-12 UDF-10", f"WITH {_SQL_EDGES} SELECT DISTINCT target FROM e WHERE source = 'nation:3' UNION SELECT DISTINCT source FROM e WHERE target = 'nation:3'")
+def graph_tools(spark, d):
+    from tessera.plans.tools import graph_tools as tools
+
+    edges = _edges(spark, d).withColumn("type", F.lit("calls"))
+    nodes = edges.select(F.col("source").alias("id")).distinct()
+    t = tools(nodes, edges, spark.createDataFrame([], "ord long, sha string"))
+    return t["callees"](qualname="nation:3").union(t["callers"](qualname="nation:3")).distinct()

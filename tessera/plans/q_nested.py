@@ -129,3 +129,10 @@ def registry(spark, d):
 @query("rec_17_iterate", "REC-17", "WITH RECURSIVE s(ord, value) AS (SELECT 0::BIGINT, 1::BIGINT UNION ALL SELECT ord + 1, (value * 3 + 1) % 1009 FROM s WHERE ord + 1 < 50) SELECT * FROM s")
 def iterate(spark, d):
     return sp.iterate(spark, 1, "(value * 3 + 1) % 1009", 50)
+
+
+@query("prj_46_variables", "PRJ-46 PRJ-47 PRJ-88", "SELECT o_orderkey, o_totalprice * 2 + length(o_orderstatus) AS both FROM orders")
+def variables(spark, d):
+    o = table(spark, d, "orders").withColumn("row", F.struct("o_totalprice", "o_orderstatus"))
+    bound = sp.Let({"p": "o_totalprice", "s": "o_orderstatus"}, lambda p, s: p * 2 + F.length(s))
+    return sp.project(o, "row", bound).select("o_orderkey", F.col("result").alias("both"))

@@ -240,3 +240,13 @@ def pages(spark, d):
 @query("scl_131_value_keys", "SCL-131 SCL-130", "SELECT k, count(*) AS n FROM (SELECT event_type || '|' || (value > 50)::VARCHAR AS k FROM events) GROUP BY 1")
 def value_keys(spark, d):
     return table(spark, d, "events").groupBy(F.concat_ws("|", "event_type", (F.col("value") > 50).cast("string")).alias("k")).agg(F.count("*").alias("n"))
+
+
+@query("scl_42_sections", "SCL-42 SCL-54", "SELECT n_nationkey, '# x' || chr(10) || chr(10) || '## Links' || chr(10) || chr(10) || 'see [' || n_name || '](a.md)' || chr(10) AS page, CASE WHEN n_nationkey < 10 THEN n_name ELSE '' END AS known FROM nation")
+def sections(spark, d):
+    page = F.concat(F.lit("# x\n\n## Links\n\nsee ["), "n_name", F.lit("](a.md)\n"))
+    known = F.when(F.col("n_nationkey") < 10, F.array("n_name")).otherwise(F.array(F.lit("other")))
+    n = table(spark, d, "nation").withColumn("page", page)
+    again = tx.replace_section(tx.replace_section(F.lit("# x\n\n## Links\n\nold\n"), "Links", "see $1"), "Links", "see $1")
+    kept = n.withColumn("same", again == F.lit("# x\n\n## Links\n\nsee $1\n")).where("same")
+    return kept.select("n_nationkey", "page", F.array_join(tx.linked_names(F.col("page"), "Links", known), ",").alias("known"))

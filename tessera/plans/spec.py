@@ -127,6 +127,14 @@ class Switch:
     strict: bool = False
 
 
+@dataclass(frozen=True)
+class Let:
+    """Names bound to values of the column so far; `then` gets them as keyword arguments and gives a specification."""
+
+    bindings: dict[str, Spec]
+    then: Callable[..., Spec]
+
+
 @dataclass(frozen=True)
 class Where:
     """In a list: elements without the condition are dropped (SKIP), or end the list (STOP)."""
@@ -187,6 +195,8 @@ def evaluate(col: Column, spec: Spec) -> Column:
         for cond, then in reversed(spec.cases):
             out = F.when(cond(col), evaluate(col, then)).otherwise(out)
         return out
+    if isinstance(spec, Let):
+        return evaluate(col, spec.then(**{k: evaluate(col, v) for k, v in spec.bindings.items()}))
     if isinstance(spec, Fold):
         return F.aggregate(evaluate(col, spec.spec), _literal(spec.init), spec.op, spec.finish)
     if callable(spec):

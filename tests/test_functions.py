@@ -159,3 +159,47 @@ def test_specifications(spark):
     with pytest.raises(ValueError, match="negative"):
         sp.Flatten(levels=-1)
     assert sp.parse_path(r"a.b\.c.0.*") == ["a", "b.c", 0, "*"] and sp.starts_with("a.b.c", "a.b")
+
+
+def test_git_sources(spark, tmp_path):
+    import subprocess
+
+    from tessera.sources import gitlog as gl
+
+    repo = str(tmp_path / "r")
+    run = lambda *a: subprocess.run(["git", "-C", repo, "-c", "user.name=a", "-c", "user.email=a@example.org", *a], check=True, capture_output=True)
+    subprocess.run(["git", "init", "-q", repo], check=True)
+    for k, text in enumerate(("one\n", "one\ntwo\n", "two\n")):
+        (tmp_path / "r" / "a.py").write_text(text)
+        run("add", "-A")
+        run("commit", "-qm", f"Change {k} (#{k})\n\nbody")
+    spark.dataSource.register(gl.GitLog)
+    raw = spark.read.format("gitlog").option("partitionSize", 2).load(repo)
+    got = rd.commit_record(raw, "^setup.py$").orderBy("ord").collect()
+    assert [(r["ord"], r["pr_number"], r["insertions"], r["deletions"], list(r["files_changed"])) for r in got] == [(0, 2, 0, 1, ["a.py"]), (1, 1, 1, 0, ["a.py"]), (2, 0, 1, 0, ["a.py"])]
+    assert gl.show(repo, "HEAD~1", "a.py") == "one\ntwo\n" and gl.show(repo, "HEAD", "b.py") is None and dict(gl.tree(repo, "HEAD")) == {"a.py": "two\n"}
+    assert "+two" in gl.diff(repo, "HEAD~2", "HEAD") and gl.export_commits(repo, "HEAD", f"{tmp_path}/log.jsonl") == 3
+    assert rd.read_commits(spark, f"{tmp_path}/log.jsonl").count() == 3
+
+
+def test_configuration_files(one):
+    from tessera.sources import gitlog as gl
+
+    assert json.loads(one(gl.toml_json(F.lit("[a]\nb = [1, 2]")))) == {"a": {"b": [1, 2]}} and one(gl.toml_json(F.lit("= x"))) is None
+    assert json.loads(one(gl.ini_json(F.lit("[metadata]\nname = x")))) == {"metadata": {"name": "x"}} and one(gl.ini_json(F.lit("x"))) is None
+
+
+def test_tools_and_command_line(spark, capsys, tmp_path):
+    from tessera import cli
+    from tessera.plans import tools as tl
+
+    files = tl.file_tools(spark.createDataFrame([("a.py", "x = 1\ny = 2\nx = 3")], "path string, content string"))
+    assert [r["no"] for r in files["grep"](pattern="^x").collect()] == [1, 3] and files["read_file"](path="a.py", first=2, last=2).first()["text"] == "y = 2"
+    with pytest.raises(TypeError, match="missing"):
+        files["read_file"]()
+    cli.main(["a.b", '{"a": {"b": [1, 2]}}', "--indent", "0"])
+    cli.main(['{"x": "a.0", "y": "none"}', "{'a': ['s']}", "--target-format", "python"])
+    cli.main(["a", "a = 's'", "--target-format", "toml", "--scalar"])
+    assert capsys.readouterr().out.split("\n")[:1] == ["[1, 2]"]
+    with pytest.raises(SystemExit):
+        cli.load("", "xml")
