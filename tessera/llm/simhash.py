@@ -72,13 +72,28 @@ def fingerprints(df: DataFrame, text: Column | str = "text", words: int = 5, see
     return add_columns(df, [text], [T.StructField(out, T.LongType(), False)], make)
 
 
-def covering_masks(radius: int, bits: int = BITS) -> list[int]:
-    """2 ** (radius + 1) - 1 masks such that any `radius` bits are all hidden by one of them.
+def bit_vectors(width: int, bits: int = BITS) -> list[int]:
+    """The vector dealt to each bit: such that every table keeps about half the bits.
 
-    m(i) takes the non-zero vectors in turn, so that every table keeps about half the bits.
+    Up to six dimensions the non-zero vectors take turns. Beyond, bit i has a one, the six digits of i, the bent
+    function i0 i1 + i2 i3 + i4 i5, and hashed digits for the rest: the tables are then words of the first-order
+    Reed-Muller code and its cosets, of 28 to 36 bits (one keeps all 64).
     """
+    if width <= 6:
+        return [i % ((1 << width) - 1) + 1 for i in range(bits)]
+    out = []
+    for i in range(bits):
+        bent = (i & i >> 1 & 1) ^ (i >> 2 & i >> 3 & 1) ^ (i >> 4 & i >> 5 & 1)
+        mixed = (i + 1) * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF
+        more = (mixed ^ mixed >> 29) * 0xBF58476D1CE4E5B9 >> 23 & 0xFFFFFFFF
+        out.append((64 | i % 64 | bent << 7 | more << 8) & ((1 << width) - 1))
+    return out
+
+
+def covering_masks(radius: int, bits: int = BITS) -> list[int]:
+    """2 ** (radius + 1) - 1 masks such that any `radius` bits are all hidden by one of them."""
     width = radius + 1
-    m = [i % ((1 << width) - 1) + 1 for i in range(bits)]
+    m = bit_vectors(width, bits)
     return [sum(1 << i for i in range(bits) if (m[i] & v).bit_count() % 2) for v in range(1, 1 << width)]
 
 
