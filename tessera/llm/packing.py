@@ -1,7 +1,7 @@
 """Operator 6: sum-of-squares packing of tokenised documents into sequences of a fixed length.
 
-Each piece goes where the sum over gaps of squared counts of open bins with that gap becomes smallest.
-Pieces are dealt over shards by a hash; every shard packs its own pieces from the longest to the shortest,
+Each piece goes where the sum over gaps of squared counts of open bins with that gap becomes smallest, among the
+open bins that have room. Pieces are dealt over shards by a hash; every shard packs its own pieces from the longest to the shortest,
 so its state is one counter per gap and the work holds at any number of documents. Only documents longer
 than a sequence are cut; the first piece takes the remainder.
 
@@ -66,23 +66,19 @@ def sum_of_squares(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.n
     """Bin and offset of each item, in the order given.
 
     Putting an item of length s into a bin with gap g changes the sum of squares by
-    2 * (count[g - s] - count[g]) + 2; a new bin changes it by 2 * count[capacity - s] + 1. Full bins do not count.
+    2 * (count[g - s] - count[g]) + 2; filling a bin changes it by 1 - 2 * count[s], for full bins do not count. The
+    least change among the bins that have room wins, of equal changes the smallest gap; a bin is opened where none has.
     """
     counts = np.zeros(capacity + 1, dtype=np.int64)
     open_bins: list[list[int]] = [[] for _ in range(capacity + 1)]
     bins, offsets, n_bins = np.empty(len(lengths), np.int64), np.empty(len(lengths), np.int64), 0
     for i, s in enumerate(lengths.tolist()):
-        gap, best = capacity, 2 * int(counts[capacity - s]) + 1
-        if s <= capacity and n_bins:
-            there = counts[s:capacity]
+        there = counts[s:capacity]
+        gap = capacity
+        if there.any():
             change = 2 * (counts[: capacity - s] - there) + 2
-            if s < capacity:
-                change[0] -= 2 * counts[0] + 1  # a full bin adds nothing
-            change = np.where(there > 0, change, np.iinfo(np.int64).max)
-            if len(change):
-                k = int(change.argmin())
-                if change[k] <= best:
-                    gap = s + k
+            change[0] -= 2 * counts[0] + 1  # a full bin adds nothing
+            gap = s + int(np.where(there > 0, change, np.iinfo(np.int64).max).argmin())
         if gap == capacity:
             at, n_bins = n_bins, n_bins + 1
         else:
