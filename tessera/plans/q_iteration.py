@@ -16,10 +16,10 @@ from tessera.plans.registry import query, table
 def _pool(spark, d) -> DataFrame:
     p = table(spark, d, "part")
     kind = F.element_at(F.split("p_type", " "), 1)
-    return p.select(F.col("p_partkey").alias("id"), kind.alias("type"), F.col("p_brand").alias("module"), F.when(F.col("p_size") < 17, "easy").when(F.col("p_size") < 34, "medium").otherwise("hard").alias("difficulty"), F.col("p_size").alias("weight"), (F.col("p_retailprice") > 920).alias("eligible"))
+    return p.select(F.col("p_partkey").alias("id"), kind.alias("type"), F.col("p_brand").alias("module"), F.when(F.col("p_size") < 17, "easy").when(F.col("p_size") < 34, "medium").otherwise("hard").alias("difficulty"), F.col("p_size").alias("weight"), (F.col("p_size") > 5).alias("eligible"))
 
 
-_SQL_POOL = "pool AS (SELECT p_partkey AS id, split_part(p_type, ' ', 1) AS type, p_brand AS module, p_size AS weight FROM part WHERE p_retailprice > 920)"
+_SQL_POOL = "pool AS (SELECT p_partkey AS id, split_part(p_type, ' ', 1) AS type, p_brand AS module, p_size AS weight FROM part WHERE p_size > 5)"
 
 
 @query("rec_03_greedy", "REC-03 PRJ-79 REC-02", f"WITH {_SQL_POOL}, k AS (SELECT type FROM pool GROUP BY 1 ORDER BY 1), r AS (SELECT *, row_number() OVER (PARTITION BY type ORDER BY weight DESC, id) AS rn FROM pool) SELECT id FROM r WHERE NOT (type = (SELECT max(type) FROM k) AND rn > 2) ORDER BY (type = (SELECT min(type) FROM k) AND rn <= 4) DESC, weight DESC, id LIMIT 10")
