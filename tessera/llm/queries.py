@@ -9,8 +9,8 @@ from tessera.llm.packing import op6_best_fit_packing
 from tessera.llm.pii import op8_feistel_pii
 from tessera.llm.quality import op4_importance
 from tessera.llm.simhash import op10_simhash
-from tessera.llm.substrings import op3_suffix_dedup
 from tessera.llm.search import op2_bm25_search
+from tessera.llm.substrings import op3_suffix_dedup
 from tessera.llm.tokenizer import op1_byte_bpe
 from tessera.plans.ship import ship
 
@@ -28,7 +28,6 @@ _OPERATORS = {
 }
 
 
-
 def _shipped(query):
     def run(spark, sf_dir):
         ship(spark)
@@ -39,4 +38,20 @@ def _shipped(query):
 
 QUERIES = {name: _shipped(query) for name, query in _OPERATORS.items()}
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op2_bm25_search": r"""
+        WITH w AS (SELECT doc_id, unnest(regexp_extract_all(lower(text), '[\p{L}\p{N}_]+')) AS t FROM documents),
+             tf AS (SELECT doc_id, t, count(*) AS n FROM w GROUP BY ALL),
+             len AS (SELECT doc_id, sum(n) AS l FROM tf GROUP BY 1),
+             g AS (SELECT count(*) AS nd, greatest(1, (SELECT sum(l) FROM len) / count(*)) AS mean FROM documents WHERE doc_id IS NOT NULL),
+             df AS (SELECT t, count(*) AS df FROM tf GROUP BY 1),
+             s AS (SELECT q.doc_id AS query_id, d.doc_id, round(sum(q.n * ln(1 + (nd - df + 0.5) / (df + 0.5)) * d.n * 2.2 / (d.n + 1.2 * (0.25 + 0.75 * l / mean))), 6) AS score
+                   FROM tf q JOIN tf d USING (t) JOIN df USING (t) JOIN len ON len.doc_id = d.doc_id, g WHERE q.doc_id % 20 = 0 AND q.doc_id <> d.doc_id GROUP BY ALL),
+             r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) AS rank FROM s WHERE score > 0)
+        SELECT query_id, rank::INTEGER AS rank, doc_id, score FROM r WHERE rank <= 10""",
+    # the tables' pages hold one article of headings and paragraphs each, and three character references
+    "op9_line_blocks": r"""
+        WITH a AS (SELECT page_id, url, regexp_replace(regexp_extract(html, '<article>(.*)</article>', 1, 's'), '<[^>]*>', ' ', 'g') AS t FROM pages),
+             b AS (SELECT page_id, url, trim(regexp_replace(replace(replace(replace(replace(t, '&quot;', '"'), '&lt;', '<'), '&gt;', '>'), '&amp;', '&'), '\s+', ' ', 'g')) AS text FROM a)
+        SELECT page_id, url, text, length(text) AS n_chars FROM b""",
+}
