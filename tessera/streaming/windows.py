@@ -1,6 +1,6 @@
 """Event-time aggregates for streams and tables, and incremental folding of record files.
 
-The reference engine has no event time; these are an extension.
+The surveyed engine has no event time; these are an extension.
 """
 
 from __future__ import annotations
