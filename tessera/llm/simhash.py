@@ -31,6 +31,8 @@ from tessera.llm.components import components
 BUCKET_ROWS = 8_192
 #: Rows of all tables that a task makes.
 TASK_ROWS = 500_000
+#: Tables that are searched first.
+TABLES_AT_ONCE = 31
 BITS = 64
 
 
@@ -135,39 +137,45 @@ def _forest(a: np.ndarray, b: np.ndarray | None, radius: int) -> tuple[list[int]
 
 
 def _links(batches: Iterator[pa.RecordBatch], radius: int) -> Iterator[pa.RecordBatch]:
-    """Spanning links of the groups in sorted rows (key, i, j, block, fp); a group may run over batches."""
+    """Spanning links, between different roots, of the groups in sorted rows (key, i, j, block, fp, root); a group may
+    run over batches."""
     carry: pa.Table | None = None
     names = ["key", "i", "j"]
 
     def solve(rows: pa.Table) -> tuple[np.ndarray, np.ndarray]:
         cols = [rows.column(n).to_numpy() for n in names]
-        fp, block = rows.column("fp").to_numpy().view(np.uint64), rows.column("block").to_numpy()
+        fp, block, root = rows.column("fp").to_numpy().view(np.uint64), rows.column("block").to_numpy(), rows.column("root").to_numpy()
         new = np.ones(len(fp), bool)
         new[1:] = np.any([c[1:] != c[:-1] for c in cols], axis=0)
         starts = np.flatnonzero(new)
         sizes = np.diff(np.append(starts, len(fp)))
-        lefts, rights = [], []
+        lefts, rights = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
         # groups of a few rows, the bulk, all at once: each row against the next, the one after, ...
         few = sizes <= 16
         row_group = np.repeat(np.arange(len(starts)), sizes)
         small = np.flatnonzero(few[row_group] & (cols[1] == cols[2]))
-        f, g = fp[small], row_group[small]
+        f, g, r = fp[small], row_group[small], root[small]
         for d in range(1, 16):
             if len(f) <= d:
                 break
-            hit = (g[d:] == g[:-d]) & (f[d:] != f[:-d]) & (np.bitwise_count(f[d:] ^ f[:-d]) <= radius)
-            lefts.append(f[:-d][hit].view(np.int64))
-            rights.append(f[d:][hit].view(np.int64))
+            hit = (g[d:] == g[:-d]) & (r[d:] != r[:-d]) & (np.bitwise_count(f[d:] ^ f[:-d]) <= radius)
+            lefts.append(r[:-d][hit])
+            rights.append(r[d:][hit])
         for k in np.flatnonzero(~few | (cols[1][starts] != cols[2][starts])).tolist():
             at = slice(starts[k], starts[k] + sizes[k])
+            if (root[at] == root[at.start]).all():
+                continue
             if cols[1][at.start] == cols[2][at.start]:
                 x, y = _forest(fp[at], None, radius)
             else:
                 own = block[at] == cols[1][at.start]
                 x, y = _forest(fp[at][own], fp[at][~own], radius)
-            lefts.append(np.array(x, np.uint64).view(np.int64))
-            rights.append(np.array(y, np.uint64).view(np.int64))
-        return np.concatenate([np.empty(0, np.int64), *lefts]), np.concatenate([np.empty(0, np.int64), *rights])
+            order = np.argsort(fp[at], kind="stable")
+            to_root = lambda v: root[at][order][np.searchsorted(fp[at][order], np.array(v, np.uint64))]  # noqa: E731, B023
+            x, y = to_root(x), to_root(y)
+            lefts.append(x[x != y])
+            rights.append(y[x != y])
+        return np.concatenate(lefts), np.concatenate(rights)
 
     def out(rows: pa.Table) -> pa.RecordBatch:
         a, b = solve(rows)
@@ -188,33 +196,50 @@ def _links(batches: Iterator[pa.RecordBatch], radius: int) -> Iterator[pa.Record
         yield out(carry.combine_chunks())
 
 
-def links(distinct: DataFrame, radius: int, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
-    """distinct (fp long, each once) -> a, b: links within the radius that connect all that the radius connects."""
-    masks = F.array(*[F.lit(m - (1 << 64) if m >> 63 else m) for m in covering_masks(radius)])
+def links(nodes: DataFrame, radius: int, bucket_rows: int = BUCKET_ROWS, first: int = 0, last: int | None = None) -> DataFrame:
+    """a, b: pairs of roots that links within the radius, found in tables first..last, connect.
+
+    nodes has fp (each once) and root (what it is known to be connected with, at first itself).
+    """
+    kept = covering_masks(radius)[first:last]
+    masks = F.array(*[F.lit(m - (1 << 64) if m >> 63 else m) for m in kept])
     # few fingerprints make many rows: tasks of a bounded number of rows keep the counting in memory
-    parts = max(1, -(-distinct.count() * ((1 << (radius + 1)) - 1) // TASK_ROWS))
-    tables = distinct.select("fp").repartition(parts, "fp").select("fp", F.explode(F.sequence(F.lit(0), F.lit((1 << (radius + 1)) - 2))).alias("v"))
+    parts = max(1, -(-nodes.count() * len(kept) // TASK_ROWS))
+    tables = nodes.select("fp").repartition(parts, "fp").select("fp", F.explode(F.sequence(F.lit(0), F.lit(len(kept) - 1))).alias("v"))
     # a bucket goes by the hash of its table and its kept bits; buckets that share a hash are compared together
     bucket = F.xxhash64("v", F.col("fp").bitwiseAND(F.element_at(masks, F.col("v") + 1)))
     sizes = tables.groupBy(bucket.alias("key")).agg(F.count("*").alias("n")).where("n > 1")
     blocks = F.ceil(F.col("n") / F.lit(bucket_rows)).cast("int")
     own = F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int")
-    met = tables.join(sizes, bucket == F.col("key")).withColumn("blocks", blocks).withColumn("block", own)
-    dealt = met.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select("key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "fp")
-    n = int(distinct.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    met = tables.join(sizes, bucket == F.col("key")).withColumn("blocks", blocks).withColumn("block", own).join(nodes.select("fp", "root"), "fp")
+    dealt = met.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select("key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "fp", "root")
+    n = int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     sorted_rows = dealt.repartition(n, "key", "i", "j").sortWithinPartitions("key", "i", "j", "fp")
     return sorted_rows.mapInArrow(lambda it: _links(it, radius), "a long, b long")
 
 
+def connect(distinct: DataFrame, radius: int, bucket_rows: int = BUCKET_ROWS, step: int = TABLES_AT_ONCE) -> DataFrame:
+    """fp, root: each fingerprint (once) with the smallest one that links reach.
+
+    The first tables are searched apart: what they connect, the others need not link again, so that a dense group does
+    not cost its size in links once for every table.
+    """
+    nodes = distinct.select("fp", F.col("fp").alias("root"))
+    tables = (1 << (radius + 1)) - 1
+    for first, last in ((0, min(step, tables)), (step, tables)):
+        if first < last:
+            found = components(links(nodes, radius, bucket_rows, first, last)).withColumnRenamed("root", "to")
+            nodes = cut(nodes.join(found, nodes.root == found.node, "left").select("fp", F.coalesce("to", "root").alias("root")))
+    return nodes
+
+
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text: Column | str = "text", words: int = 5, seed: int = 42, radius: int = 4, keep: bool = False) -> DataFrame:
     """doc_id, fp, component_id per row; with keep, all other columns of df too (which are then read twice)."""
     src = without(df, ["fp", "component_id"])
     text = F.col(text) if isinstance(text, str) else text
     prints = cut(fingerprints(src.select(F.col(id_col).alias("doc_id"), text.alias("text")), "text", words, seed).drop("text"))
     distinct = cut(prints.groupBy("fp").agg(F.min("doc_id").alias("least")))
-    pairs = links(distinct.select("fp"), radius)
-    roots = components(pairs)
-    rooted = distinct.join(roots, distinct.fp == roots.node, "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
+    rooted = distinct.join(connect(distinct, radius), "fp").select("fp", "least", "root")
     named = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     classes = rooted.join(named, "root").select("fp", "component_id")
     return prints.join(classes, "fp").select("doc_id", "fp", "component_id")

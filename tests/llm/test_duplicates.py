@@ -122,13 +122,13 @@ def test_links_of_dense_groups(spark, bucket_rows):
     far = rng.getrandbits(64)
     near |= {far, far ^ 0b1111, far ^ 0b11111110000}
     signed = [x - (1 << 64) if x >> 63 else x for x in near]
-    df = spark.createDataFrame([(x,) for x in signed], "fp long")
+    df = spark.createDataFrame([(x, x) for x in signed], "fp long, root long")
     pairs = simhash.links(df, 4, bucket_rows).collect()
     assert all(((r["a"] ^ r["b"]) & ((1 << 64) - 1)).bit_count() <= 4 for r in pairs)
     want = brute_components(dict(zip(range(len(signed)), near, strict=True)), 4)
-    groups = components(df.select(F.col("fp").alias("a"), F.col("fp").alias("b")).union(spark.createDataFrame([(r["a"], r["b"]) for r in pairs], "a long, b long")))
     size = lambda roots: sorted(list(roots).count(r) for r in set(roots))
-    assert size([r["root"] for r in groups.collect()]) == size(want.values())
+    for step in (31, 5):
+        assert size([r["root"] for r in simhash.connect(df.select("fp"), 4, bucket_rows, step).collect()]) == size(want.values())
 
 
 @given(st.integers(0, 2**64 - 1), st.sets(st.integers(0, 63), max_size=7))
