@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.llm.common import add_columns, cut, without
+from tessera.llm.common import add_columns, cut
 from tessera.llm.components import components
 
 #: Fingerprints of a bucket compared in one block; larger buckets are dealt over pairs of blocks.
@@ -205,13 +205,14 @@ def links(nodes: DataFrame, radius: int, bucket_rows: int = BUCKET_ROWS, first:
     masks = F.array(*[F.lit(m - (1 << 64) if m >> 63 else m) for m in kept])
     # few fingerprints make many rows: tasks of a bounded number of rows keep the counting in memory
     parts = max(1, -(-nodes.count() * len(kept) // TASK_ROWS))
-    tables = nodes.select("fp").repartition(parts, "fp").select("fp", F.explode(F.sequence(F.lit(0), F.lit(len(kept) - 1))).alias("v"))
+    tables = nodes.select("fp", "root").repartition(parts, "fp").select("fp", "root", F.explode(F.sequence(F.lit(0), F.lit(len(kept) - 1))).alias("v"))
     # a bucket goes by the hash of its table and its kept bits; buckets that share a hash are compared together
     bucket = F.xxhash64("v", F.col("fp").bitwiseAND(F.element_at(masks, F.col("v") + 1)))
-    sizes = tables.groupBy(bucket.alias("key")).agg(F.count("*").alias("n")).where("n > 1")
+    # of use are only buckets that hold different roots
+    sizes = tables.groupBy(bucket.alias("key")).agg(F.count("*").alias("n"), F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("key", "n")
     blocks = F.ceil(F.col("n") / F.lit(bucket_rows)).cast("int")
     own = F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int")
-    met = tables.join(sizes, bucket == F.col("key")).withColumn("blocks", blocks).withColumn("block", own).join(nodes.select("fp", "root"), "fp")
+    met = tables.select("fp", "v").join(sizes, bucket == F.col("key")).withColumn("blocks", blocks).withColumn("block", own).join(nodes.select("fp", "root"), "fp")
     dealt = met.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select("key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "fp", "root")
     n = int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     sorted_rows = dealt.repartition(n, "key", "i", "j").sortWithinPartitions("key", "i", "j", "fp")
@@ -219,12 +220,12 @@ def links(nodes: DataFrame, radius: int, bucket_rows: int = BUCKET_ROWS, first:
 
 
 def connect(distinct: DataFrame, radius: int, bucket_rows: int = BUCKET_ROWS, step: int = TABLES_AT_ONCE) -> DataFrame:
-    """fp, root: each fingerprint (once) with the smallest one that links reach.
+    """fp, root: each fingerprint (once) with a number that it shares with those that links reach.
 
     The first tables are searched apart: what they connect, the others need not link again, so that a dense group does
-    not cost its size in links once for every table.
+    not cost its size in links once for every table. Roots are small numbers, which cost few bytes in a shuffle.
     """
-    nodes = distinct.select("fp", F.col("fp").alias("root"))
+    nodes = cut(distinct.select("fp", F.monotonically_increasing_id().alias("root")))
     tables = (1 << (radius + 1)) - 1
     for first, last in ((0, min(step, tables)), (step, tables)):
         if first < last:
@@ -233,11 +234,10 @@ def connect(distinct: DataFrame, radius: int, bucket_rows: int = BUCKET_ROWS, st
     return nodes
 
 
-def near_duplicates(df: DataFrame, id_col: str = "doc_id", text: Column | str = "text", words: int = 5, seed: int = 42, radius: int = 4, keep: bool = False) -> DataFrame:
-    """doc_id, fp, component_id per row; with keep, all other columns of df too (which are then read twice)."""
-    src = without(df, ["fp", "component_id"])
+def near_duplicates(df: DataFrame, id_col: str = "doc_id", text: Column | str = "text", words: int = 5, seed: int = 42, radius: int = 4) -> DataFrame:
+    """doc_id, fp, component_id per row of df."""
     text = F.col(text) if isinstance(text, str) else text
-    prints = cut(fingerprints(src.select(F.col(id_col).alias("doc_id"), text.alias("text")), "text", words, seed).drop("text"))
+    prints = cut(fingerprints(df.select(F.col(id_col).alias("doc_id"), text.alias("text")), "text", words, seed).drop("text"))
     distinct = cut(prints.groupBy("fp").agg(F.min("doc_id").alias("least")))
     rooted = distinct.join(connect(distinct, radius), "fp").select("fp", "least", "root")
     named = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
