@@ -41,6 +41,8 @@ STRETCH = 1 << 19
 
 #: Texts among which repeats are settled before the shuffle.
 EMIT_ROWS = 1_024
+#: Neighbouring windows that are sorted in one task.
+SLOT = 8
 #: Columns that the operator adds for itself.
 _DOC, _TAG, _SPANS = "__tessera_doc", "__tessera_tag", "__tessera_spans"
 _ODD, _MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
@@ -179,7 +181,11 @@ def _sieve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _windows(batches: Iterator[pa.RecordBatch], threshold: int, text_at: int) -> Iterator[pa.RecordBatch]:
-    """A row (key, name, doc, tag, start) for every window of the stretches that went on."""
+    """A row (key, name, doc, tag, start, slot) for every window of the stretches that went on.
+
+    Equal windows have their representative at the same distance, whose SLOT-th part is the slot: a name that many
+    stretches share is dealt over its slots, and windows that follow each other mostly stay together.
+    """
     from xxhash import xxh64_intdigest
 
     half = min(64, threshold)
@@ -193,9 +199,9 @@ def _windows(batches: Iterator[pa.RecordBatch], threshold: int, text_at: int) ->
                 first = np.fromiter((xxh64_intdigest(raw[p : p + half]) for p in range(a, a + n)), np.uint64, n)
                 then = np.fromiter((xxh64_intdigest(raw[p + shift : p + threshold]) for p in range(a, a + n)), np.uint64, n)
                 pair = (first ^ (first >> np.uint64(31))) * _ODD + then
-                out.append([np.full(n, s["key"]), ((pair ^ (pair >> np.uint64(29))) * _MIX).view(np.int64), np.full(n, doc), np.full(n, tag), np.arange(a, a + n)])
+                out.append([np.full(n, s["key"]), ((pair ^ (pair >> np.uint64(29))) * _MIX).view(np.int64), np.full(n, doc), np.full(n, tag), np.arange(a, a + n), (s["place"] - np.arange(n)) // SLOT])
             cols = [np.concatenate(c) for c in zip(*out, strict=True)]
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], names=["key", "name", "doc", "tag", "start"])
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], names=["key", "name", "doc", "tag", "start", "slot"])
 
 
 def _repeats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -214,7 +220,7 @@ def _repeats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         later = ~new & ~((cols[2] == head[2]) & (cols[3] == head[3]) & (cols[4] == head[4]))
         first = [int(c[-1]) for c in head]
         if later.any():
-            doc, tag, start = (c[later] for c in cols[2:])
+            doc, tag, start = (c[later] for c in cols[2:5])
             doc, tag, start, n = _merge(doc, tag, start, np.ones(len(doc), np.int64))
             yield pa.RecordBatch.from_arrays([pa.array(doc), pa.array(tag), pa.array(start), pa.array(n.astype(np.int32))], names=["doc", "tag", "start", "n"])
 
@@ -251,11 +257,11 @@ def deduplicate(df: DataFrame, threshold: int = 100, id_col: str = "doc_id", tex
     stretches = cut_table(by_name.mapInArrow(_sieve, _ROW_TYPES))
 
     # both joins read the very same exchange of the texts: it is written once
-    still = stretches.where(F.col("place") != _SETTLED).groupBy(F.col("doc").alias(_DOC), F.col("tag").alias(_TAG)).agg(F.collect_list(F.struct("start", "n", "key")).alias(_SPANS))
+    still = stretches.where(F.col("place") != _SETTLED).groupBy(F.col("doc").alias(_DOC), F.col("tag").alias(_TAG)).agg(F.collect_list(F.struct("start", "n", "place", "key")).alias(_SPANS))
     at = [*told.columns].index(text_col)
     windows = told.join(still, [_DOC, _TAG]).select(*[F.col(f"`{c}`") for c in told.columns], _SPANS)
-    windows = windows.mapInArrow(lambda it: _windows(it, threshold, at), "key long, name long, doc long, tag long, start long")
-    by_window = windows.repartition(n, "key").sortWithinPartitions("key", "name", "doc", "tag", "start")
+    windows = windows.mapInArrow(lambda it: _windows(it, threshold, at), "key long, name long, doc long, tag long, start long, slot long")
+    by_window = windows.repartition(n, "key", "slot").sortWithinPartitions("key", "name", "doc", "tag", "start")
     runs = by_window.mapInArrow(_repeats, "doc long, tag long, start long, n int")
     all_runs = stretches.where(F.col("place") == _SETTLED).select("doc", "tag", "start", "n").union(runs)
     by_doc = all_runs.groupBy(F.col("doc").alias(_DOC), F.col("tag").alias(_TAG)).agg(F.collect_list(F.struct("start", "n")).alias(_SPANS))
