@@ -22,7 +22,6 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -158,8 +157,9 @@ def best_cut(weights: np.ndarray, good: np.ndarray) -> float:
     return float(weights[k - 1] if k == len(weights) else (weights[k - 1] + weights[k]) / 2)
 
 
-def select(df: DataFrame, labels: DataFrame, k: int | None = None, id_col: str = "doc_id", text_col: str = "text", target_rows: int = TARGET_ROWS, buckets: int = BUCKETS, seed: int = 7, sharpness: float = SHARPNESS) -> DataFrame:
-    """df plus log_weight, gumbel_key and selected boolean.
+def select(df: DataFrame, labels: DataFrame, k: int | None = None, id_col: str = "doc_id", text_col: str = "text", target_rows: int = TARGET_ROWS, buckets: int = BUCKETS, seed: int = 7, sharpness: float = SHARPNESS, texts: bool = True) -> DataFrame:
+    """df plus log_weight, gumbel_key and selected boolean; without texts, the id and these three, which are kept from
+    the ranking instead of being computed once more.
 
     labels has id_col, quality and, where there is one, toxic: the target is quality 1 and not toxic, quality 0 is bad.
     """
@@ -177,11 +177,12 @@ def select(df: DataFrame, labels: DataFrame, k: int | None = None, id_col: str =
         parted = best_cut(seen["log_weight"].to_numpy(float), seen["__good"].to_numpy(bool))
         k = keys.where(F.col("log_weight") > parted).count()
     limit = kth_highest(keys, "gumbel_key", k)
-    return scored.withColumn("selected", F.lit(False) if limit is None else F.col("gumbel_key") >= F.lit(limit))
+    found = scored if texts else keys.withColumnRenamed("id", id_col)
+    return found.withColumn("selected", F.lit(False) if limit is None else F.col("gumbel_key") >= F.lit(limit))
 
 
 def op4_importance(spark, sf_dir: str) -> DataFrame:
-    """Every document's log weight, noisy key, and whether it is selected."""
+    """The documents that resampling selects, with their log weights and noisy keys."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    return select(docs, labels).select("doc_id", "log_weight", "gumbel_key", "selected")
+    return select(docs, labels, texts=False).where("selected").select("doc_id", "log_weight", "gumbel_key", "selected")
