@@ -105,7 +105,7 @@ def try_ratio(spark, d):
     return table(spark, d, "customer").groupBy("c_nationkey").agg(F.round(F.try_divide(F.count_if(F.col("c_acctbal") > 9000).cast("double"), F.count_if(F.col("c_acctbal") > 5000)), 3).alias("ratio"))
 
 
-@query("agg_40_budget", "AGG-40 ITER-11 AGG-78", "SELECT event_id, sum(n) OVER w AS spent, sum(n) OVER w <= 500 AS within FROM (SELECT *, length(event_type) AS n FROM events) WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING)")
+@query("agg_40_budget", "AGG-40 ITER-11 AGG-78", "SELECT event_id, (sum(n) OVER w)::BIGINT AS spent, sum(n) OVER w <= 500 AS within FROM (SELECT *, length(event_type) AS n FROM events) WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING)")
 def budget(spark, d):
     e = sq.number(table(spark, d, "events").select("event_id", "user_id", "ts", F.length("event_type").alias("n")), ["user_id"], ["ts", "event_id"])
     return ag.running_total(e, ["user_id"], "ord", "n", 500).select("event_id", "spent", "within")

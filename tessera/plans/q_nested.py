@@ -105,7 +105,7 @@ def fold_spec(spark, d):
     return got.select("l_orderkey", "qty", "flat")
 
 
-@query("udf_16_compose", "UDF-16 UDF-17 UDF-18 UDF-19 UDF-20 UDF-21 UDF-24 UDF-27 UDF-28 UDF-29 PRJ-48 PRJ-49", "SELECT c_custkey, upper(c_name) || '!' AS a, length(c_name) AS n, lower(c_name) AS l FROM customer")
+@query("udf_16_compose", "UDF-16 UDF-17 UDF-18 UDF-19 UDF-20 UDF-21 UDF-24 UDF-27 UDF-28 UDF-29 PRJ-48 PRJ-49", "SELECT c_custkey, upper(c_name) || '!' AS a, length(c_name)::INTEGER AS n, lower(c_name) AS l FROM customer")
 def compose(spark, d):
     shout = sp.compose(lambda c: F.concat(c, F.lit("!")), F.upper)
     c = table(spark, d, "customer").withColumn("j", sp.juxt(F.length, F.lower)(F.col("c_name")))
@@ -117,7 +117,7 @@ def excepts(spark, d):
     return _events(spark, d).select("event_id", F.coalesce(F.col("event_type").try_cast("int"), F.lit(0)).alias("n"), F.try_divide("value", F.col("props.k") % 3).alias("r"))
 
 
-@query("udf_13_registry", "UDF-13 UDF-14 UDF-15 UDF-30 UDF-31 PRJ-52 PRJ-42 UDF-01 UDF-10", "SELECT c_custkey, length(c_name) AS size_of_name, c_nationkey AS size_of_key FROM customer")
+@query("udf_13_registry", "UDF-13 UDF-14 UDF-15 UDF-30 UDF-31 PRJ-52 PRJ-42 UDF-01 UDF-10", "SELECT c_custkey, length(c_name)::INTEGER AS size_of_name, c_nationkey AS size_of_key FROM customer")
 def registry(spark, d):
     r = sp.Registry()
     r.register("size", "string", F.length)
