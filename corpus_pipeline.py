@@ -1,7 +1,8 @@
 """Corpus pipeline: documents in, packed training sequences out.
 
 Five stages, each on what its predecessor kept: importance resampling keeps the documents that read like the
-labelled good ones; SimHash keeps one document (the smallest id) of each group of near copies; exact-substring
+labelled good ones; SimHash proposes near copies, of which one document (the smallest id) of each group that exact
+shingle similarity connects stays; exact-substring
 deduplication cuts passages of 100 bytes and more that stand earlier; personal data get pseudonyms; the
 rest is tokenised and packed. All stages but the last return the columns of documents, n_chars brought up to
 date where the text changed.
@@ -20,8 +21,9 @@ from tessera.llm import packing, pii, quality, simhash, substrings
 from tessera.llm.common import cut, cut_table
 from tessera.plans.ship import ship
 
-#: Words in a shingle, and differing bits of 64 up to which documents are near copies.
-SHINGLE_WORDS, RADIUS = 5, 7
+#: Words in a shingle, differing bits of 64 up to which documents are compared, and the Jaccard similarity of their
+#: sets of shingles (a fraction) from which they are near copies.
+SHINGLE_WORDS, RADIUS, SIMILAR = 5, 7, (4, 5)
 #: Bytes from which a repeated passage is cut, and tokens in a sequence.
 REPEATED_BYTES, SEQUENCE_TOKENS = 100, 2048
 
@@ -39,14 +41,18 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def keep_one_of_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of a group the row with the smallest id stays, of rows that share it one. Rows without an id cannot be told and stay."""
+    """Of a group the row with the smallest id stays, of equal rows one. Rows without an id cannot be told and stay.
+
+    Rows are told by id and text, so that unrelated texts that share an id are decided apart."""
     ship(spark)
-    found = simhash.near_duplicates(docs, words=SHINGLE_WORDS, radius=RADIUS)
-    stays = found.where("doc_id = component_id").groupBy("doc_id").agg(F.count("*").alias("n"))
-    stays = cut(stays)
-    kept = docs.join(stays.select("doc_id"), "doc_id", "left_semi")
+    found = simhash.near_copies(docs, words=SHINGLE_WORDS, radius=RADIUS, least=SIMILAR)
+    stays = found.where((F.col("doc_id") == F.col("leader.doc_id")) & (F.col("digest") == F.col("leader.digest")))
+    stays = cut(stays.groupBy("doc_id", "digest").agg(F.count("*").alias("n")))
+    told = "__tessera_digest"
+    kept = docs.withColumn(told, simhash.text_digest("text"))
+    kept = kept.join(stays.select("doc_id", F.col("digest").alias(told)), ["doc_id", told], "left_semi")
     if not stays.where("n > 1").isEmpty():
-        kept = kept.dropDuplicates(["doc_id"])
+        kept = kept.dropDuplicates(["doc_id", told])
     return kept.select(*[F.col(f"`{c}`") for c in docs.columns]).union(docs.where("doc_id is null"))
 
 

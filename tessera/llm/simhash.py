@@ -34,6 +34,10 @@ TASK_ROWS = 500_000
 #: Tables that are searched first.
 TABLES_AT_ONCE = 31
 BITS = 64
+#: Characters of a candidate group's texts that are compared in one block; larger groups are dealt over pairs of blocks.
+BLOCK_CHARS = 16_000_000
+#: Shingles that are looked up at a time.
+LOOKUPS = 4_000_000
 
 
 def shingles(text: str, words: int) -> list[bytes]:
@@ -245,6 +249,128 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text: Column | str =
     return prints.join(classes, "fp").select("doc_id", "fp", "component_id")
 
 
+def shingle_set(text: str | None, words: int, seed: int) -> np.ndarray:
+    """The distinct XXH64 of a text's shingles, sorted."""
+    from xxhash import xxh64_intdigest
+
+    return np.unique(np.fromiter((xxh64_intdigest(p, seed) for p in shingles(text or "", words)), np.uint64))
+
+
+def similar_forest(sets: list[np.ndarray], fp: np.ndarray, side: np.ndarray | None, radius: int, least: tuple[int, int]) -> tuple[list[int], list[int]]:
+    """Edges, as positions, of a spanning forest of the pairs within the radius whose sets have at least the Jaccard
+    similarity least (a fraction); of pairs of different sides only, if sides are given.
+
+    Breadth first as in _forest: what is reached leaves the pool.
+    """
+    sizes = np.array([len(s) for s in sets], np.int64)
+    ends = np.cumsum(sizes)
+    values, flat = np.unique(np.concatenate([np.empty(0, np.uint64), *sets]), return_inverse=True)
+    marked = np.zeros(len(values), bool)
+    share = least[0] + least[1]
+
+    def alike(x: int, others: np.ndarray) -> np.ndarray:
+        own = flat[ends[x] - sizes[x] : ends[x]]
+        marked[own] = True
+        common = np.array([np.count_nonzero(marked[flat[ends[y] - sizes[y] : ends[y]]]) for y in others.tolist()], np.int64) if len(others) < 8 else _counts(others)
+        marked[own] = False
+        # |x & y| / |x | y| >= least, two empty sets being alike
+        return common * share >= least[0] * (sizes[x] + sizes[others])
+
+    def _counts(others: np.ndarray) -> np.ndarray:
+        out = np.zeros(len(others), np.int64)
+        total = np.cumsum(sizes[others])
+        at = 0
+        while at < len(others):
+            done = total[at - 1] if at else 0
+            to = max(at + 1, int(np.searchsorted(total, done + LOOKUPS, "right")))
+            part = others[at:to]
+            n = sizes[part]
+            where = np.repeat(ends[part] - np.cumsum(n), n) + np.arange(n.sum())
+            out[at:to] = np.bincount(np.repeat(np.arange(len(part)), n), weights=marked[flat[where]], minlength=len(part)).astype(np.int64)
+            at = to
+        return out
+
+    left, right = [], []
+    pool = np.arange(len(sets))
+    while len(pool):
+        queue, pool = [int(pool[0])], pool[1:]
+        while queue and len(pool):
+            x = queue.pop()
+            near = np.bitwise_count(fp[pool] ^ fp[x]) <= radius
+            small, large = np.minimum(sizes[pool], sizes[x]), np.maximum(sizes[pool], sizes[x])
+            near &= small * least[1] >= large * least[0]
+            if side is not None:
+                near &= side[pool] != side[x]
+            at = np.flatnonzero(near)
+            if len(at):
+                at = at[alike(x, pool[at])]
+                got = pool[at].tolist()
+                pool = np.delete(pool, at)
+                left += [x] * len(got)
+                right += got
+                queue += got
+    return left, right
+
+
+def _similar(batches: Iterator[pa.RecordBatch], radius: int, least: tuple[int, int]) -> Iterator[pa.RecordBatch]:
+    """Spanning links of the groups in sorted rows (root, i, j, block, node, fp, hashes); a group may run over batches."""
+
+    def solve(key: tuple, rows: dict[int, tuple]) -> pa.RecordBatch:
+        nodes = np.array(list(rows), np.int64)
+        sets = [np.frombuffer(s, np.uint64) for _, _, s in rows.values()]
+        fp = np.array([f for _, f, _ in rows.values()], np.int64).view(np.uint64)
+        side = None if key[1] == key[2] else np.array([b for b, _, _ in rows.values()])
+        a, b = similar_forest(sets, fp, side, radius, least)
+        return pa.RecordBatch.from_arrays([pa.array(nodes[np.array(x, np.int64)]) for x in (a, b)], names=["a", "b"])
+
+    key, rows = None, {}
+    for batch in batches:
+        for root, i, j, block, node, fp, hashes in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+            if (root, i, j) != key:
+                if len(rows) > 1:
+                    yield solve(key, rows)
+                key, rows = (root, i, j), {}
+            rows[node] = (block, fp, hashes)
+    if len(rows) > 1:
+        yield solve(key, rows)
+
+
+def near_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, seed: int = 42, radius: int = 7, least: tuple[int, int] = (4, 5), block_chars: int = BLOCK_CHARS) -> DataFrame:
+    """doc_id, digest, leader (doc_id, digest) per row of df: of the texts that links connect, the row of the least id.
+
+    Texts are linked if their fingerprints lie within the radius and their sets of shingles have at least the Jaccard
+    similarity least. Fingerprints only propose: what they connect is compared by the sets, in groups that no task
+    holds beyond two blocks of block_chars. Equal texts are one node, told by digest (see text_digest).
+    """
+    rows = df.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("text")).withColumn("digest", text_digest("text")).withColumn("size", F.coalesce(F.length("text"), F.lit(0)))
+    prints = cut(fingerprints(rows, "text", words, seed).drop("text"))
+    texts = prints.groupBy("digest").agg(F.first("fp").alias("fp"), F.min("doc_id").alias("least"), F.first("size").alias("size"))
+    texts = cut(texts.withColumn("node", F.monotonically_increasing_id()))
+    rooted = texts.join(connect(texts.select("fp").distinct(), radius), "fp")
+    groups = rooted.groupBy("root").agg(F.count("*").alias("n"), F.sum("size").alias("chars")).where("n > 1").select("root", F.ceil(F.col("chars") / F.lit(block_chars)).cast("int").alias("blocks"))
+    groups = groups.withColumn("blocks", F.greatest("blocks", F.lit(1)))
+    members = cut(rooted.join(groups, "root").select("digest", F.col("least").alias("doc_id"), "fp", "node", "root", "blocks"))
+    # one row of each text is enough; rows that share id and text are told apart by nothing and met again as one node
+    fed = rows.select("doc_id", "digest", "text").alias("r").join(members.alias("m"), (F.col("r.digest") == F.col("m.digest")) & F.col("r.doc_id").eqNullSafe(F.col("m.doc_id"))).select("m.node", "m.fp", "m.root", "m.blocks", "r.text")
+
+    def make():
+        return lambda given: [[shingle_set(t, words, seed).tobytes() for t in given]]
+
+    sets = add_columns(fed, [F.col("text")], [T.StructField("hashes", T.BinaryType(), False)], make).drop("text")
+    dealt = sets.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    dealt = dealt.select("root", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "node", "fp", "hashes")
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    found = components(dealt.repartition(n, "root", "i", "j").sortWithinPartitions("root", "i", "j").mapInArrow(lambda it: _similar(it, radius, least), "a long, b long"))
+    named = texts.join(found, "node", "left").select("digest", "least", F.coalesce("root", "node").alias("root"))
+    leaders = named.where("least IS NOT NULL").groupBy("root").agg(F.min(F.struct(F.col("least").alias("doc_id"), "digest")).alias("leader"))
+    return prints.select("doc_id", "digest").join(named.join(leaders, "root", "left").select("digest", "leader"), "digest")
+
+
+def text_digest(text: str) -> Column:
+    """SHA-256 of a text; a null text is an empty one."""
+    return F.unhex(F.sha2(F.coalesce(F.col(f"`{text}`"), F.lit("")).cast("binary"), 256))
+
+
 def op10_simhash(spark, sf_dir: str) -> DataFrame:
     """Contract query: fingerprint of 4-word shingles, links within 4 bits, smallest reachable doc_id."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
