@@ -49,9 +49,10 @@ ORACLE: dict[str, str] = {
                    FROM tf q JOIN tf d USING (t) JOIN df USING (t) JOIN len ON len.doc_id = d.doc_id, g WHERE q.doc_id % 20 = 0 AND q.doc_id <> d.doc_id GROUP BY ALL),
              r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) AS rank FROM s WHERE score > 0)
         SELECT query_id, rank::INTEGER AS rank, doc_id, score FROM r WHERE rank <= 10""",
-    # the tables' pages hold one article of headings and paragraphs each, and three character references
+    # what the tables' pages hold beside their article is named and taken away: head, menu, advert, footer, remarks
     "op9_line_blocks": r"""
-        WITH a AS (SELECT page_id, url, regexp_replace(regexp_extract(html, '<article>(.*)</article>', 1, 's'), '<[^>]*>', ' ', 'g') AS t FROM pages),
-             b AS (SELECT page_id, url, trim(regexp_replace(replace(replace(replace(replace(t, '&quot;', '"'), '&lt;', '<'), '&gt;', '>'), '&amp;', '&'), '\s+', ' ', 'g')) AS text FROM a)
-        SELECT page_id, url, text, length(text) AS n_chars FROM b""",
+        WITH a AS (SELECT page_id, url, regexp_replace(html, '<head>.*</head>|<nav>.*?</nav>|<div class="ad">.*?</div>|<footer>.*?</footer>|<!--.*?-->|<!DOCTYPE[^>]*>', ' ', 'gs') AS t FROM pages),
+             b AS (SELECT page_id, url, regexp_replace(regexp_replace(t, '</?b>', '', 'g'), '<[^>]*>', ' ', 'g') AS t FROM a),
+             c AS (SELECT page_id, url, trim(regexp_replace(replace(replace(replace(replace(t, '&quot;', '"'), '&lt;', '<'), '&gt;', '>'), '&amp;', '&'), '\s+', ' ', 'g')) AS text FROM b)
+        SELECT page_id, url, text, length(text) AS n_chars FROM c""",
 }
