@@ -1,23 +1,30 @@
 """Operator 7: license scan by conditional compression.
 
-Blocks of text around license wording are compressed once alone and once with each template as zstandard raw
-dictionary. The size that a template saves, against the block alone, ranks the templates; the best ones are
-confirmed by exact wording: their words are looked for in the block, and the differing words of the best
-alignment are listed. A block may hold several licenses: what a winner covers is cut out and the rest is
-scanned again.
+Around license wording, blocks of words are compressed once alone and once with each template as zstandard raw
+dictionary. The bytes that a template saves rank the templates. A template that saves less than a share of what it
+saves on its own wording is not supported and goes no further; the others are confirmed from the top down by exact
+wording differences: their words must stand in the block, or differ in a few words of which none decides. What a
+winner covers is cut out, and the rest of the block is ranked again, so a block may hold several licenses.
+
+Templates go in groups of like size, long ones first, and the blocks of a group are bounded by its size: a short
+notice is not lost in a long text, and no comparison grows with the text. Blocks overlap, so that every place where a
+template of the group can stand lies inside of one.
 
 Defined cases: null and empty texts have no finding; a license in other case, spacing, punctuation or line
 breaks is found; a differing version, clause or qualifier (GNU Lesser, NC, ND, SA) is a difference in a
 deciding word and never confirmed as that license; equal savings go to the template named first; repeated
-rows repeat their findings; an empty table gives an empty table; texts of any length are read whole.
+rows repeat their findings; columns but for id and text take no part, whatever their names; an empty table gives an
+empty table; texts of any length are read whole.
 """
 
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 from difflib import SequenceMatcher
 from functools import lru_cache
+from typing import NamedTuple
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -56,60 +63,54 @@ TEMPLATES: dict[str, str] = {
 DECIDING = {
     *"apache mit isc gnu gpl lgpl agpl lesser affero mozilla mpl bsd cc cc0 by nc nd sa 0 1 2 3 4 neither unencumbered noncommercial".split(),
 }
-#: Wording that makes a line a candidate.
-CANDIDATE = re.compile(r"licen[cs]e|copyright|warrant|redistribut|permission (?:is hereby|to use)|public domain|creative commons|\bCC[ -]?(?:BY|0)\b", re.I)
-#: Characters around such wording that are compressed, and that the wording of a winner may take in; templates
-#: that are confirmed for a block at a time, in order of size saved; share of a template's words that may differ.
-NEAR, WIDE, BEST, MAY_DIFFER = 150, 2_000, 10, 0.1
-#: Bytes that a template must save for its wording to be compared word by word.
-LEAST_SAVED = 8
-WORD = re.compile(r"<\w+>|[^\W_]+")
-
+#: Wording around which blocks are compressed; every template holds some of it.
+CANDIDATE = re.compile(r"licen[cs]e|copyright|warrant|redistribut|permission\W+(?:is\W+hereby|to\W+use)|public\W+domain|creative\W+commons|\bCC\W?(?:BY|0)\b", re.I)
+#: Words that a placeholder may take in, and share of a template's words that may differ.
+OPEN_WORDS, MAY_DIFFER = 12, 0.1
+#: Share of what a template saves on its own wording from which a block supports it. In the densest surroundings, of
+#: nothing but pieces of other templates, wording that is there saves twice that.
+SUPPORT = 0.1
+LEVEL = 19
+WORD, SLOT = re.compile(r"[^\W_]+"), re.compile(r"<\w+>|[^\W_]+")
 
-def words(text: str) -> list[tuple[str, int, int]]:
-    """Lower-cased words and their places."""
-    return [(m[0].lower(), m.start(), m.end()) for m in WORD.finditer(text)]
 
-
-def blocks(text: str) -> list[tuple[int, int]]:
-    """Spans around license wording; spans that touch are one."""
-    out: list[tuple[int, int]] = []
-    for hit in CANDIDATE.finditer(text):
-        first, last = max(0, hit.start() - NEAR), min(len(text), hit.end() + NEAR)
-        if out and first <= out[-1][1]:
-            out[-1] = (out[-1][0], last)
-        else:
-            out.append((first, last))
-    return out
+class Template(NamedTuple):
+    name: str
+    words: list[str]  # without placeholders
+    pattern: re.Pattern  # over words joined by one space
+    compressor: object
+    own: int  # bytes saved on the template's own wording
 
 
 @lru_cache(maxsize=1)
-def _tools():
+def groups() -> tuple[object, list[tuple[int, list[Template]]]]:
+    """The plain compressor, and the templates by the power of two of words that holds each, long ones first."""
     import zstandard
 
-    made = {}
+    alone, made = zstandard.ZstdCompressor(level=LEVEL), {}
     for name, text in TEMPLATES.items():
-        own = [w for w, _, _ in words(text)]
-        plain = " ".join(w for w in own if w[0] != "<").encode()
-        pattern = r"\W+".join(r"(?:\w+\W+){0,12}?\w+" if w[0] == "<" else re.escape(w) for w in own)
-        made[name] = (own, zstandard.ZstdCompressor(level=19, dict_data=zstandard.ZstdCompressionDict(plain, dict_type=zstandard.DICT_TYPE_RAWCONTENT)), re.compile(rf"(?<!\w){pattern}(?!\w)"))
-    return zstandard.ZstdCompressor(level=19), made
-
-
-def rank(text: str) -> list[tuple[int, str]]:
-    """(bytes saved, template) of a block, most saved first."""
-    alone, made = _tools()
-    raw = " ".join(w for w, _, _ in words(text)).encode()
-    base = len(alone.compress(raw))
-    saved = [(base - len(c.compress(raw)), k, name) for k, (name, (_, c, _)) in enumerate(made.items())]
-    return [(s, name) for s, _, name in sorted(saved, key=lambda x: (-x[0], x[1]))]
-
-
-def differences(template: list[str], found: list[tuple[str, int, int]]) -> tuple[list[str], int, int] | None:
+        slots = [m[0].lower() for m in SLOT.finditer(text)]
+        own = [w for w in slots if w[0] != "<"]
+        raw = " ".join(own).encode()
+        pattern = " ".join(rf"\S+(?: \S+){{0,{OPEN_WORDS}}}?" if w[0] == "<" else re.escape(w) for w in slots)
+        given = zstandard.ZstdCompressor(level=LEVEL, dict_data=zstandard.ZstdCompressionDict(raw, dict_type=zstandard.DICT_TYPE_RAWCONTENT))
+        size = len(own) + (OPEN_WORDS + 1) * (len(slots) - len(own))
+        template = Template(name, own, re.compile(rf"(?<!\S){pattern}(?!\S)"), given, len(alone.compress(raw)) - len(given.compress(raw)))
+        made.setdefault(1 << size.bit_length(), []).append(template)
+    return alone, sorted(made.items(), reverse=True)
+
+
+def rank(found: list[str], templates: list[Template]) -> list[tuple[int, Template]]:
+    """(bytes saved, template) of a block of words, most saved first, as far as the block supports them."""
+    raw = " ".join(found).encode()
+    base = len(groups()[0].compress(raw))
+    saved = [(base - len(t.compressor.compress(raw)), t) for t in templates]
+    return sorted((x for x in saved if x[0] >= SUPPORT * x[1].own), key=lambda x: -x[0])
+
+
+def differences(own: list[str], found: list[str]) -> tuple[list[str], int, int] | None:
     """Words that differ ("-" only in the template, "+" only in the text) in the best alignment, and its span of words."""
-    own = [w for w in template if w[0] != "<"]
-    match = SequenceMatcher(None, own, [w for w, _, _ in found], autojunk=False)
-    same = [b for b in match.get_matching_blocks() if b.size]
+    same = [b for b in SequenceMatcher(None, own, found, autojunk=False).get_matching_blocks() if b.size]
     if not same:
         return None
     # the stretch around the longest match that has room for the whole template
@@ -117,59 +118,73 @@ def differences(template: list[str], found: list[tuple[str, int, int]]) -> tuple
     first, last = core.b - core.a - len(own) // 8, core.b + len(own) - core.a + len(own) // 8
     kept = [b for b in same if b.b >= first and b.b + b.size <= last]
     a, b = kept[0].b, kept[-1].b + kept[-1].size
-    sub = SequenceMatcher(None, own, [w for w, _, _ in found[a:b]], autojunk=False)
     out = []
-    for tag, i, j, k, m in sub.get_opcodes():
+    for tag, i, j, k, m in SequenceMatcher(None, own, found[a:b], autojunk=False).get_opcodes():
         if tag != "equal":
-            out += [f"-{w}" for w in own[i:j]] + [f"+{w}" for w, _, _ in found[a + k : a + m]]
+            out += [f"-{w}" for w in own[i:j]] + [f"+{w}" for w in found[a + k : a + m]]
     return out, a, b
 
 
-def _outside(spans: list[tuple[int, int]], start: int, end: int) -> list[tuple[int, int]]:
-    """Parts of spans that lie outside of start..end."""
-    return [(x, y) for a, b in spans for x, y in ((a, min(b, start)), (max(a, end), b)) if x < y]
-
-
-def _confirm(text: str, lowered: str, a: int, b: int, lo: int, hi: int) -> dict | None:
-    """The finding of a block a..b, whose wording may reach from lo to hi."""
-    _, made = _tools()
-    ranked = rank(text[a:b])[:BEST]
-    # exact wording first, the longest template that fits; then the closest with few differences
-    for saved, name in sorted(ranked, key=lambda x: -len(made[x[1]][0])):
-        for hit in made[name][2].finditer(lowered, lo, hi):
-            if hit.start() < b and hit.end() > a:
-                return {"license": name, "start": hit.start(), "end": hit.end(), "saved": saved, "differences": []}
-    there, best = words(text[lo:hi]), None
-    for saved, name in ranked:
-        own = made[name][0]
-        got = differences(own, there) if saved >= LEAST_SAVED else None
-        if got is None or len(got[0]) > MAY_DIFFER * len(own) or any(d[1:] in DECIDING for d in got[0]):
-            continue
-        start, end = lo + there[got[1]][1], lo + there[got[2] - 1][2]
-        if start < b and end > a and (best is None or len(got[0]) < len(best["differences"])):
-            best = {"license": name, "start": start, "end": end, "saved": saved, "differences": got[0]}
-    return best
+def _exact(template: Template, found: list[str]) -> tuple[list[str], int, int] | None:
+    text = " ".join(found)
+    hit = template.pattern.search(text)
+    return ([], text.count(" ", 0, hit.start()), text.count(" ", 0, hit.end()) + 1) if hit else None
+
+
+def _close(template: Template, found: list[str]) -> tuple[list[str], int, int] | None:
+    got = differences(template.words, found)
+    if got is None or len(got[0]) > MAY_DIFFER * len(template.words) or any(d[1:] in DECIDING for d in got[0]):
+        return None
+    return got
+
+
+def blocks(hits: list[int], n: int, size: int) -> Iterator[tuple[int, int, int]]:
+    """(first, end, end of the starts that are its own) of blocks of at most 3 * size of the n words, around hits."""
+    k = 0
+    while k < len(hits):
+        first, end = max(0, hits[k] - size), hits[k] + size
+        while k < len(hits) and hits[k] - size <= end:
+            end = hits[k] + size
+            k += 1
+        end = min(n, end)
+        while end - first > 3 * size:
+            yield first, first + 3 * size, first + 2 * size
+            first += 2 * size
+        yield first, end, end
+
+
+def _free(taken: bytearray, first: int, end: int) -> Iterator[tuple[int, int]]:
+    """Spans of words that no finding covers."""
+    while (a := taken.find(0, first, end)) >= 0:
+        b = taken.find(1, a, end)
+        first = b if b >= 0 else end
+        yield a, first
 
 
 def scan(text: str | None) -> list[dict]:
     """Findings of a text: license, start, end (characters), saved (bytes), differing words, in order of place."""
     out: list[dict] = []
-    todo = blocks(text) if text else []
-    if not todo:
+    if not text or not CANDIDATE.search(text):
         return out
-    lowered = text.lower()
-    if len(lowered) != len(text):  # a few letters change length in lower case
-        lowered = "".join(c.lower() if len(c.lower()) == 1 else c for c in text)
-    while todo:
-        a, b = todo.pop(0)
-        if not CANDIDATE.search(text, a, b):
-            continue
-        lo = max([0, a - WIDE, *(f["end"] for f in out if f["end"] <= a)])
-        hi = min([len(text), b + WIDE, *(f["start"] for f in out if f["start"] >= b)])
-        found = _confirm(text, lowered, a, b, lo, hi)
-        if found:
-            out.append(found)
-            todo = _outside([(a, b), *todo], found["start"], found["end"])
+    places = [m.span() for m in WORD.finditer(text)]
+    found = [text[a:b].lower() for a, b in places]
+    starts = [a for a, _ in places]
+    hits = sorted({max(0, bisect_right(starts, m.start()) - 1) for m in CANDIDATE.finditer(text)})
+    taken = bytearray(len(found))
+    for size, templates in groups()[1]:
+        for confirm in (_exact, _close):
+            for first, end, own in blocks(hits, len(found), size):
+                todo = list(_free(taken, first, end))
+                while todo:
+                    a, b = todo.pop()
+                    for saved, template in rank(found[a:b], templates):
+                        got = confirm(template, found[a:b])
+                        if got and a + got[1] < own:
+                            x, y = a + got[1], a + got[2]
+                            out.append({"license": template.name, "start": places[x][0], "end": places[y - 1][1], "saved": saved, "differences": got[0]})
+                            taken[x:y] = b"\1" * (y - x)
+                            todo += _free(taken, a, b)
+                            break
     return sorted(out, key=lambda f: (f["start"], f["license"]))
 
 

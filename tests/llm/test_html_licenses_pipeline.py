@@ -110,6 +110,61 @@ def test_each_template_is_found(name):
         assert [f["license"] for f in licenses.scan(text)] == [name]
 
 
+def filled(name):
+    return licenses.TEMPLATES[name].replace("<holder>", "the Example Group").replace("<address>", "http://example.org/x")
+
+
+def test_ranking_selects():
+    """Compression puts the template that is there first, and what it does not support is never compared."""
+    for size, group in licenses.groups()[1]:
+        for t in group:
+            ranked = licenses.rank(["some", "words", *t.words, "and", "more"], group)
+            assert ranked[0][1].name == t.name and ranked[0][0] > t.own / 2
+            assert licenses.rank("nothing of the kind stands here but ordinary talk about rain".split(), group) == []
+
+
+def test_only_supported_templates_are_confirmed(monkeypatch):
+    seen = []
+    exact = licenses._exact
+    monkeypatch.setattr(licenses, "_exact", lambda t, found: seen.append(t.name) or exact(t, found))
+    (found,) = licenses.scan("text before " + filled("MPL-2.0") + " text after")
+    assert found["license"] == "MPL-2.0" and "MIT" not in seen and "GPL-3.0-or-later" not in seen
+    monkeypatch.setattr(licenses, "rank", lambda found, templates: [])
+    assert licenses.scan(filled("MPL-2.0")) == []
+
+
+def test_no_license_is_lost_in_a_crowd():
+    import random
+
+    rng = random.Random(3)
+    texts = [filled(n).split() for n in licenses.TEMPLATES]
+    for name in licenses.TEMPLATES:
+        for prose in ("This license and copyright notice is granted by the licensor under warranty terms of the license for redistribution. " * 8, None):
+            sides = []
+            for _ in range(2):
+                side: list[str] = []
+                while len(side) < 120:
+                    own = rng.choice(texts)
+                    at = rng.randrange(len(own))
+                    side += own[at : at + rng.randint(1, 8)]
+                sides.append(prose or " ".join(side))
+            assert name in [f["license"] for f in licenses.scan(f"{sides[0]} {filled(name)} {sides[1]}")]
+    everything = licenses.scan(" ".join(filled(n) for n in licenses.TEMPLATES))
+    assert [(f["license"], f["differences"]) for f in everything] == [(n, []) for n in licenses.TEMPLATES]
+    assert len(licenses.scan((filled("ISC") + "\n") * 50)) == 50
+    assert [f["license"] for f in licenses.scan("released into the public\n  domain: " + filled("Unlicense").replace("public domain", "public\n\ndomain"))] == ["Unlicense"]
+
+
+def test_blocks_hold_every_place():
+    for hits, n, size in (([5, 60, 61, 300], 400, 8), (list(range(0, 500, 3)), 500, 16), ([0], 1, 8)):
+        made = list(licenses.blocks(hits, n, size))
+        assert all(0 <= a < b <= n and b - a <= 3 * size for a, b, _ in made)
+        for start in range(n):
+            end = min(n, start + size)
+            if any(start <= h < end for h in hits):
+                assert any(a <= start < own and end <= b for a, b, own in made)
+
+
 def test_wording_decides():
     assert licenses.scan("This work is licensed under the GNU Lesser General Public License, version 2.") == []
     assert licenses.scan("Licensed under CC BY 3.0.") == [] and licenses.scan("Copyright 2020. No warranty.") == []
@@ -159,11 +214,10 @@ def test_columns_and_decisions(spark, stages):
 
 
 def test_copies_leave_one(stages):
-    from tests.llm.test_duplicates import brute_components, plain_fingerprint
+    from tests.llm.test_near_copies import brute_kept
 
     before, after = rows(stages["quality"]), rows(stages["near_copies"])
-    roots = brute_components({d: plain_fingerprint(t, corpus_pipeline.SHINGLE_WORDS) for d, t in before.items()}, corpus_pipeline.RADIUS)
-    assert set(after) == {d for d, r in roots.items() if d == r} and all(after[d] == before[d] for d in after)
+    assert set(after.items()) == brute_kept(before.items(), corpus_pipeline.RADIUS)
 
 
 def test_repeats_and_private_data_go(spark, stages):
