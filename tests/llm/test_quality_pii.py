@@ -62,6 +62,65 @@ def test_gumbel_noise_is_standard(spark):
     assert abs(g.mean() - 0.5772) < 0.03 and abs(g.var() - math.pi**2 / 6) < 0.08
 
 
+def plain_selection(texts, labels):
+    """{id: (weight, key)} of the selected documents, by a model over whole counts; texts and labels by id."""
+    good = {d for d, (q, t) in labels.items() if q == 1 and t == 0}
+    bad = {d for d, (q, _) in labels.items() if q == 0}
+    hasher = quality.Hasher(quality.BUCKETS)
+    grams = {d: hasher(t) for d, t in texts.items()}
+    raw, target = np.ones(quality.BUCKETS), np.ones(quality.BUCKETS)
+    for d, g in grams.items():
+        np.add.at(raw, g, 1)
+        if d in good:
+            np.add.at(target, g, 1)
+    ratio = np.log(target) - np.log(target.sum()) - np.log(raw) + np.log(raw.sum())
+    weight = {d: ratio[g].mean() if len(g) else -math.inf for d, g in grams.items()}
+    best = max({weight[d] for d in good | bad}, key=lambda c: (sum(weight[d] <= c for d in bad) - sum(weight[d] <= c for d in good)))
+    above = min(weight[d] for d in good | bad if weight[d] > best)
+    k = sum(w > (best + above) / 2 for w in weight.values())
+
+    def noise(d):  # XXH64 of the id, seeded by XXH64 of the seed, over 53 bits
+        h = xxhash.xxh64_intdigest(d.to_bytes(8, "little"), xxhash.xxh64_intdigest((7).to_bytes(4, "little"), 42))
+        return -math.log(-math.log(((h >> 11) + 0.5) / 2**53))
+
+    key = {d: quality.SHARPNESS * w + noise(d) for d, w in weight.items()}
+    chosen = sorted(key, key=key.get, reverse=True)[:k]
+    return {d: (weight[d], key[d]) for d in chosen}, {d for d, w in weight.items() if w > (best + above) / 2}
+
+
+def test_whole_query_by_brute_force(spark):
+    sf = "/root/testdata/sf0.01"
+    texts = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    labels = {r["doc_id"]: (r["quality"], r["toxic"]) for r in spark.read.parquet(f"{sf}/labels.parquet").collect()}
+    want, above = plain_selection(texts, labels)
+    got = {r["doc_id"]: r for r in quality.op4_importance(spark, sf).collect()}
+    assert set(got) == set(want) and len(got) == len(above)
+    assert all(math.isclose(r["log_weight"], want[d][0], abs_tol=1e-9) and math.isclose(r["gumbel_key"], want[d][1], abs_tol=1e-9) for d, r in got.items())
+    assert all(r["selected"] for r in got.values())
+
+
+def test_selection_samples_by_weight(spark):
+    """Of four texts under 5,000 draws, each comes first about as often as its share of exp(sharpness * weight)."""
+    texts = ["good words here", "good words there", "good other words", "some other talk"]
+    docs = spark.createDataFrame([(4 * i + k, t) for i in range(5_000) for k, t in enumerate(texts)], "doc_id long, text string")
+    labels = spark.createDataFrame([(0, 1, 0), (1, 1, 0), (3, 0, 0)], "doc_id long, quality int, toxic int")
+    rows = quality.select(docs, labels, k=100, buckets=1 << 10, sharpness=0.7).select("doc_id", "log_weight", "gumbel_key").toPandas().sort_values("doc_id")
+    weight, keys = rows["log_weight"].to_numpy()[:4], rows["gumbel_key"].to_numpy().reshape(-1, 4)
+    share = np.exp(0.7 * weight) / np.exp(0.7 * weight).sum()
+    drawn = np.bincount(keys.argmax(axis=1), minlength=4) / len(keys)
+    assert share.max() < 0.95 and np.abs(drawn - share).max() < 0.03
+
+
+def test_noise_acts_and_spares_the_clean(spark):
+    got = quality.op4_importance(spark, SF).select("doc_id").toPandas()["doc_id"]
+    labels = spark.read.parquet(f"{SF}/labels.parquet").toPandas()
+    texts = spark.read.parquet(f"{SF}/documents.parquet")
+    sharp = quality.select(texts, spark.read.parquet(f"{SF}/labels.parquet"), sharpness=1e6, texts=False).where("selected").toPandas()["doc_id"]
+    assert len(got) == len(sharp) and 10 < len(set(sharp) - set(got)) < 0.01 * len(got)
+    clean = labels[(labels.quality == 1) & (labels.toxic == 0)].doc_id
+    assert clean.isin(got).mean() > 0.99
+
+
 def test_quality_cases(spark):
     df = spark.createDataFrame([(1, "fine text"), (1, "fine text"), (2, None), (3, ""), (4, " \n"), (None, "fine text")], "doc_id long, text string").withColumn("Selected", F.lit("old"))
     none = spark.createDataFrame([], "doc_id long, quality int")
