@@ -66,6 +66,35 @@ def test_search_over_small_shards_and_blocks(spark, monkeypatch):
     for terms in (10**6, 60):
         got = hits(search.search(vectors, vectors.where("id % 20 = 0"), 5, terms).collect())
         same(got, brute_bm25(docs, [d for d, _ in docs if d % 20 == 0], 5))
+    assert hits(search.top_k(df, F.col("doc_id") % 20 == 0, 5).collect()) == got
+
+
+def test_scores_that_round_alike_tie(spark, monkeypatch):
+    """Documents of one term and lengths so large that their scores differ behind the sixth decimal only."""
+    vectors = spark.createDataFrame([(i, 1_000_000 + i, [5], [1]) for i in range(1, 301)] + [(1000, 1, [5], [1])], "id long, length int, terms array<long>, counts array<int>")
+    n, mean = 301, (sum(1_000_000 + i for i in range(1, 301)) + 1) / 301
+    idf = math.log(1 + 0.5 / (n + 0.5))
+    score = lambda length: round(idf * 2.2 / (1 + 1.2 * (0.25 + 0.75 * length / mean)), 6)
+    want = [d for _, d in sorted((-score(1_000_000 + d), d) for d in range(1, 301))[:10]]
+    for docs, block in ((4096, 256), (7, 3)):
+        monkeypatch.setattr(search, "SHARD_DOCS", docs)
+        monkeypatch.setattr(search, "BLOCK_DOCS", block)
+        for df in (vectors, vectors.orderBy(F.desc("id")).coalesce(1)):
+            got = search.search(df, vectors.where("id = 1000"), 10).orderBy("rank").collect()
+            assert [r["doc_id"] for r in got] == want == list(range(1, 11))
+
+
+def test_blocks_that_cannot_win_are_not_read(monkeypatch):
+    monkeypatch.setattr(search, "BLOCK_DOCS", 4)
+    monkeypatch.setattr(search, "DENSE", 1.0)
+    docs = {bytes([i]): (10 + i, np.array([1, 2 + i]), np.array([9 if i < 4 else 1, 1]), {i}) for i in range(40)}
+    q = search.QueryBlock(__import__("pyarrow").table({"query_id": [0], "terms": [[1]], "weights": [[1.0]]}))
+    shard = search.Shard(docs, q.vocabulary, 20.0, 4)
+    read = []
+    shard.impact = type("Seen", (), {"__getitem__": lambda self, at, kept=shard.impact: read.extend(at.tolist()) or kept[at]})()
+    best = np.zeros((1, 4))
+    ((row, hits),) = shard.walk(q, 0, 1, best)
+    assert row == 0 and sorted(d for _, d in hits) == [0, 1, 2, 3] and len(read) == 4
 
 
 def test_search_cases(spark):
