@@ -5,11 +5,12 @@ labelled good ones; SimHash proposes near copies, of which one document (the sma
 shingle similarity connects stays; exact-substring
 deduplication cuts passages of 100 bytes and more that stand earlier; personal data get pseudonyms; the
 rest is tokenised and packed. All stages but the last return the columns of documents, n_chars brought up to
-date where the text changed.
+date where the text changed. The last returns a row per piece with its token ids and its place in a sequence: the
+pieces of a sequence_id, in order of offset, are a training sequence.
 
 Defined cases: documents with null or empty text are rejected by the first stage, which finds no word in them;
 a document that the cuts leave empty stays, as an empty text; empty tables pass through; columns beside those
-of documents are kept up to the last stage, repeated rows are near copies of which one stays.
+of documents are kept up to the last stage, whatever their names; texts of any length are read whole; repeated rows are near copies of which one stays.
 """
 
 from __future__ import annotations
@@ -73,7 +74,7 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     ship(spark)
-    return packing.pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN, SEQUENCE_TOKENS)
+    return packing.pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN, SEQUENCE_TOKENS, with_ids=True)
 
 
 STAGES = [
