@@ -236,9 +236,22 @@ def test_repeats_and_private_data_go(spark, stages):
 
 
 def test_packing_is_whole(spark, stages):
-    from tests.llm.test_tokenizer_packing import check_packing
-
-    check_packing(stages["packing"].collect(), list(rows(stages["private"]).items()), 2048)
+    from tokenizers import Tokenizer
+
+    from tests.llm.test_tokenizer_packing import JSON, check_packing
+
+    pieces = stages["packing"].collect()
+    check_packing(pieces, list(rows(stages["private"]).items()), 2048)
+    # the ids of the sequences, laid end to end, decode to the kept documents
+    decoder, sequences, texts = Tokenizer.from_file(JSON), {}, {}
+    for r in sorted(pieces, key=lambda r: (r["sequence_id"], r["offset"])):
+        ids = sequences.setdefault(r["sequence_id"], [])
+        assert len(ids) == r["offset"] and len(r["ids"]) == r["length"]
+        ids += r["ids"]
+    for r in sorted(pieces, key=lambda r: (r["doc_id"], r["piece"])):
+        texts.setdefault(r["doc_id"], []).extend(sequences[r["sequence_id"]][r["offset"] : r["offset"] + r["length"]])
+    assert all(ids.pop() == 0 for ids in texts.values()) and max(map(len, sequences.values())) <= 2048
+    assert {d: decoder.decode(ids, skip_special_tokens=False) for d, ids in texts.items()} == rows(stages["private"])
     assert corpus_pipeline.run(spark, SF).count() == stages["packing"].count()
 
 
