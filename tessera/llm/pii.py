@@ -6,11 +6,12 @@ values share one:
 
   email   letters and digits before the top-level domain, each kept in its class
   ipv4    four octets of 0..255, as two 16-bit halves
-  card    13 to 19 digits with a valid Luhn digit; the check digit is made anew
-  iban    valid modulo 97; country and layout stay, check digits are made anew
+  card    13 to 19 digits with a valid Luhn digit; the check digit is made anew. In a run of groups of digits, numbers
+          in the layouts of cards are looked for first, then other formats, and only then is the run one number
+  iban    valid modulo 97, unbroken or in groups of four; country and layout stay, check digits are made anew
   phone   ten digits in groups, an international prefix stays
   ssn     nine digits in groups; areas 000, 666, 900-999, group 00 and serial 0000 are no valid numbers
-  date    yyyy-mm-dd, dd.mm.yyyy and dd/mm/yyyy of the years 1800 to 2199 (146,097 days, a whole calendar cycle)
+  date    yyyy-mm-dd (a time may follow), dd.mm.yyyy and dd/mm/yyyy of the years 1800 to 2199 (146,097 days, a whole calendar cycle)
   secret  32 to 128 hexadecimal digits of one case
 
 A Feistel network folds rounds over two halves: one half is shifted, symbol by symbol and modulo its alphabet,
@@ -38,14 +39,17 @@ CYCLE_A, CYCLE_B = 189, 773
 #: The formats. Possessive quantifiers keep the scan linear.
 FORMATS = {
     "email": r"(?<![\w.%+-])[A-Za-z0-9_][\w.%+-]*+@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)*\.[A-Za-z]{2,24}(?![\w-])",
-    "iban": r"(?<![\w])[A-Z]{2}[0-9]{2}[A-Z0-9]{11,30}(?![\w])",
+    "iban": r"(?<![\w])[A-Z]{2}[0-9]{2}(?:[A-Z0-9]{11,30}|(?: [A-Z0-9]{4}){2,7}(?: [A-Z0-9]{1,4})?)(?![\w])",
     "secret": r"(?<![\w])(?:[0-9a-f]{32,128}|[0-9A-F]{32,128})(?![\w])",
-    "date": r"(?<![\w./-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}([./])[0-9]{2}\1[0-9]{4})(?![\w/-])(?!\.[0-9])",
+    "date": r"(?<![\w./-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}([./])[0-9]{2}\1[0-9]{4})(?:(?=T[0-9]{2}:)|(?![\w/-]))(?!\.[0-9])",
     "ipv4": r"(?<![\w.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![\w])(?!\.[0-9])",
     "ssn": r"(?<![\w-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![\w-])",
     "phone": r"(?<![\w(+.-])(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}(?![\w-])(?!\.[0-9])",
-    "card": r"(?<![\w])[0-9](?:[ -]?[0-9]){12,18}(?![\w])",
+    "card": r"(?<![\w])(?=[0-9](?:[ -]?[0-9]){12})[0-9]++(?!\w)(?:[ -][0-9]++(?!\w))*+",
 }
+#: Layouts of card numbers in a run of digits, found at every group; and what else a run may hold.
+CARD_LAYOUTS = r"(?<![0-9])(?=((?:[0-9]{4}([ -])[0-9]{4}\2[0-9]{4}\2[0-9]{4}|[0-9]{4}([ -])[0-9]{6}\3[0-9]{4,5}|[0-9]{13,19})(?![0-9])))"
+IN_RUN = "|".join(FORMATS[k] for k in ("date", "ssn", "phone"))
 #: No candidate lacks both of these.
 HINT = "[0-9@]"
 ANY = "|".join(FORMATS.values())
@@ -152,17 +156,51 @@ def _checked(number: Column, good: Column, value: Column) -> Column:
     return F.when(good, value).otherwise(number)
 
 
-def pseudonym(m: Column, key: str, inverse: bool = False) -> Column:
+def _card(m: Column, key: str, inverse: bool) -> Column:
+    """The pseudonym of a card number, in its layout; the text itself if it is none."""
+    digits = _digits(m)
+    body = permute_text(F.substring(digits, F.lit(1), F.length(digits) - 1), key, "card", lambda c: _alphabet(c, False), inverse)
+    card = F.aggregate(F.array(body), F.lit(""), lambda _, b: F.concat(b, F.pmod(F.lit(0) - luhn_sum(F.concat(b, F.lit("0"))), F.lit(10)).cast("string")))
+    return _checked(m, F.length(digits).between(13, 19) & (F.pmod(luhn_sum(digits), F.lit(10)) == 0), _fill(m, card))
+
+
+def _run(m: Column, key: str, inverse: bool) -> Column:
+    """A run of groups of digits with the numbers in it replaced."""
+    cards = F.transform(F.regexp_extract_all(m, F.lit(CARD_LAYOUTS), 1), lambda v: F.struct(v.alias("v"), _card(v, key, inverse).alias("p")))
+    # layouts may overlap: the first one wins, as the text of the next is gone then
+    replaced = F.aggregate(cards, m, lambda text, c: F.replace(text, c["v"], c["p"]))
+    others = _replace(m, IN_RUN, lambda v: pseudonym(v, key, inverse, runs=False))
+    return F.aggregate(F.array(F.struct(replaced.alias("c"), others.alias("o"))), F.lit(""), lambda _, x: F.when(x["c"] != m, x["c"]).when(x["o"] != m, x["o"]).otherwise(_card(m, key, inverse)))
+
+
+def _iban(m: Column, key: str, inverse: bool) -> Column:
+    """The pseudonym of an account number, in its layout; of one in groups, the longest valid part from the first group."""
+    groups = F.split(m, " ")
+
+    def one(text: Column) -> Column:
+        plain = F.replace(text, F.lit(" "), F.lit(""))
+        country, account = F.substring(plain, 1, 2), permute_text(F.substring(plain, F.lit(5), F.length(plain)), key, "iban", lambda c: _alphabet(c, False), inverse)
+        made = F.aggregate(F.array(account), F.lit(""), lambda _, a: F.concat(country, F.lpad((98 - mod97(F.concat(country, F.lit("00"), a))).cast("string"), 2, "0"), a))
+        return _fill(text, made, "[A-Z0-9]")
+
+    starts = F.transform(F.sequence(F.lit(1), F.size(groups)), lambda k: F.array_join(F.slice(groups, F.lit(1), k), " "))
+    valid = F.filter(starts, lambda t: (F.length(F.replace(t, F.lit(" "), F.lit(""))) >= 15) & (mod97(F.replace(t, F.lit(" "), F.lit(""))) == 1))
+    return F.aggregate(F.slice(F.reverse(valid), 1, 1), m, lambda _, t: F.concat(one(t), F.substring(m, F.length(t) + 1, F.length(m))))
+
+
+def _replace(text: Column, pattern: str, by) -> Column:
+    """text with every match of the pattern replaced."""
+    found = F.transform(F.regexp_extract_all(text, F.lit(pattern), 0), by)
+    return F.array_join(F.flatten(F.zip_with(F.split(text, pattern, -1), F.concat(found, F.array(F.lit(""))), lambda g, x: F.array(g, x))), "")
+
+
+def pseudonym(m: Column, key: str, inverse: bool = False, runs: bool = True) -> Column:
     """The pseudonym of a candidate; the candidate itself where validation fails. inverse gives the value back."""
     plain, hexa = (lambda c: _alphabet(c, False)), (lambda c: _alphabet(c, True))
     digits = _digits(m)
     octets = [F.split(m, r"\.")[i].cast("int") for i in range(4)]
     ip = permute_number(octets[0] * 256 + octets[1], octets[2] * 256 + octets[3], 65_536, 65_536, key, "ipv4", inverse)
     ip_text = F.aggregate(F.array(ip), F.lit(""), lambda _, v: F.concat_ws(".", F.floor(v["x"] / 256), v["x"] % 256, F.floor(v["y"] / 256), v["y"] % 256))
-    body = permute_text(F.substring(digits, F.lit(1), F.length(digits) - 1), key, "card", plain, inverse)
-    card = F.aggregate(F.array(body), F.lit(""), lambda _, b: F.concat(b, F.pmod(F.lit(0) - luhn_sum(F.concat(b, F.lit("0"))), F.lit(10)).cast("string")))
-    country, account = F.substring(m, 1, 2), permute_text(F.substring(m, F.lit(5), F.length(m)), key, "iban", plain, inverse)
-    iban = F.aggregate(F.array(account), F.lit(""), lambda _, a: F.concat(country, F.lpad((98 - mod97(F.concat(country, F.lit("00"), a))).cast("string"), 2, "0"), a))
     prefix, local = _part(m, r"^(\+[0-9]{1,3}[ .-]?)?(.*)$", 1), _part(m, r"^(\+[0-9]{1,3}[ .-]?)?(.*)$", 2)
     phone = F.concat(prefix, _fill(local, permute_text(_digits(local), key, "phone", plain, inverse)))
     area, group, serial = (F.substring(digits, a, n).cast("int") for a, n in ((1, 3), (4, 2), (6, 4)))
@@ -175,18 +213,20 @@ def pseudonym(m: Column, key: str, inverse: bool = False) -> Column:
     dated = F.when(m.rlike("^[0-9]{4}-"), date).otherwise(F.regexp_replace(date, "^(....)-(..)-(..)$", "$3-$2-$1"))
     dated = F.when(m.contains("/"), F.regexp_replace(dated, "-", "/")).when(m.contains("."), F.regexp_replace(dated, "-", ".")).otherwise(dated)
     name, top = _part(m, r"^(.*)(\.[A-Za-z]+)$", 1), _part(m, r"^(.*)(\.[A-Za-z]+)$", 2)
-    whole = {k: m.rlike(rf"^(?:{f})$") for k, f in FORMATS.items()}
-    return (
-        F.when(m.contains("@"), F.concat(permute_text(name, key, "email", plain, inverse), top))
-        .when(whole["date"], F.coalesce(dated, m))
-        .when(whole["ipv4"], _checked(m, F.greatest(*octets) < 256, ip_text))
-        .when(whole["ssn"], _checked(m, (area > 0) & (area != 666) & (area < 900) & (group > 0) & (serial > 0), ssn_text))
-        .when(whole["phone"], phone)
-        .when(whole["card"], _checked(m, F.pmod(luhn_sum(digits), F.lit(10)) == 0, _fill(m, card)))
-        .when(whole["iban"], _checked(m, mod97(m) == 1, iban))
-        .when(whole["secret"], permute_text(m, key, "secret", hexa, inverse))
-        .otherwise(m)
-    )
+    cases = {
+        "date": F.coalesce(dated, m),
+        "ssn": _checked(m, (area > 0) & (area != 666) & (area < 900) & (group > 0) & (serial > 0), ssn_text),
+        "phone": phone,
+    }
+    if runs:
+        cases["ipv4"] = _checked(m, F.greatest(*octets) < 256, ip_text)
+        cases["card"] = _run(m, key, inverse)
+        cases["iban"] = _iban(m, key, inverse)
+        cases["secret"] = permute_text(m, key, "secret", hexa, inverse)
+    out = F.when(m.contains("@"), F.concat(permute_text(name, key, "email", plain, inverse), top)) if runs else F.when(F.lit(False), m)
+    for kind, value in cases.items():
+        out = out.when(m.rlike(rf"^(?:{FORMATS[kind]})$"), value)
+    return out.otherwise(m)
 
 
 def pseudonymise(df: DataFrame, key: str, text_col: str = "text", found_col: str | None = "n_replaced", inverse: bool = False) -> DataFrame:
