@@ -14,12 +14,15 @@ input take no part.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.common import cut
+from tessera.llm.common import bound_batches, cut
 
 #: Vectors in a shard and queries in a block, on average: both bound a task's memory.
 SHARD_ROWS, QUERY_ROWS = 4_096, 16_384
@@ -124,57 +127,102 @@ def usable(vector: Column) -> Column:
 
 def build_index(df: DataFrame, id_col: str, vector_col: str, copies: int, shard_rows: int = SHARD_ROWS, degree: int = DEGREE, beam: int = BEAM, alpha: float = ALPHA) -> DataFrame:
     """dim, shard, node, vector, ids (the smallest `copies` ids of the vector), neighbours, entry: one row per vector."""
+    bound_batches(df.sparkSession)
     rows = df.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<double>").alias("vector")).where(F.col("id").isNotNull() & usable(F.col("vector"))).distinct()
     ranked = rows.withColumn("rn", F.row_number().over(Window.partitionBy("vector").orderBy("id"))).where(F.col("rn") <= copies)
     nodes = cut(ranked.groupBy("vector").agg(F.sort_array(F.collect_list("id")).alias("ids")))
     shards = max(1, -(-nodes.count() // shard_rows))
-    dealt = nodes.select(F.size("vector").alias("dim"), F.pmod(F.xxhash64(F.col("ids")[0]), F.lit(shards)).cast("int").alias("shard"), "vector", "ids")
+    shard = F.pmod(F.xxhash64(F.col("ids")[0]), F.lit(shards)).cast("int")
+    dealt = nodes.select(F.size("vector").alias("dim"), shard.alias("shard"), "vector", "ids", F.col("ids")[0].alias("first"))
+
+    def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t in _shards(batches):
+            graph, entry = build_graph(_scaled(_matrix(t.column("vector"), np.float64)), degree, beam, alpha)
+            more = [pa.array(np.arange(len(t)), pa.int32()), _lists(graph), pa.array(np.full(len(t), entry), pa.int32())]
+            made = pa.Table.from_arrays([*t.drop_columns(["first"]).columns, *more], names=["dim", "shard", "vector", "ids", "node", "neighbours", "entry"])
+            yield from made.to_batches(max_chunksize=BATCH)
+
+    # a partition for every shard, so that each is a task of its own
+    by_shard = dealt.repartitionById(shards, F.col("shard")).sortWithinPartitions("dim", "first")
+    return by_shard.mapInArrow(build, "dim int, shard int, vector array<double>, ids array<long>, node int, neighbours array<int>, entry int")
+
+
+def _lists(rows: np.ndarray) -> pa.ListArray:
+    return pa.ListArray.from_arrays(pa.array(np.arange(len(rows) + 1) * rows.shape[1], pa.int32()), pa.array(rows.ravel().astype(np.int32)))
 
-    def build(t: pa.Table) -> pa.Table:
-        t = t.take(pa.array(np.argsort(np.array([i[0] for i in t.column("ids").to_pylist()]), kind="stable")))
-        graph, entry = build_graph(_matrix(t.column("vector"), np.float32), degree, beam, alpha)
-        extra = [pa.array(np.arange(len(t)), pa.int32()), pa.array(graph.astype(np.int32).tolist(), pa.list_(pa.int32())), pa.array(np.full(len(t), entry), pa.int32())]
-        own = [pa.int32(), pa.int32(), pa.list_(pa.float64()), pa.list_(pa.int64())]
-        return pa.Table.from_arrays([*(c.cast(kind) for c, kind in zip(t.columns, own, strict=True)), *extra], names=[*t.column_names, "node", "neighbours", "entry"])
 
-    return dealt.groupBy("dim", "shard").applyInArrow(build, "dim int, shard int, vector array<double>, ids array<long>, node int, neighbours array<int>, entry int")
+def _scaled(vectors: np.ndarray, more: float = 0.0) -> np.ndarray:
+    """Single precision of vectors over their largest component, so that no distance overflows."""
+    return (vectors / max(np.abs(vectors).max(initial=0.0), more, np.finfo(np.float64).tiny)).astype(np.float32)
 
 
-def search(index: DataFrame, queries: DataFrame, id_col: str, vector_col: str, k: int, beam: int = 2 * BEAM) -> DataFrame:
-    """query_id, rank, vec_id, score: each query's k nearest found, its own id left out."""
+def _shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """The rows of one (dim, shard) after another, which follow each other."""
+    parts: list[pa.RecordBatch] = []
+    for batch in batches:
+        dims = batch.column(0).to_numpy()
+        edges = [0, *(np.flatnonzero(dims[1:] != dims[:-1]) + 1).tolist(), len(dims)]
+        for a, b in zip(edges, edges[1:], strict=False):
+            part = batch.slice(a, b - a)
+            if parts and part.num_rows and parts[-1].column(0)[0] != part.column(0)[0]:
+                yield pa.Table.from_batches(parts)
+                parts = []
+            if part.num_rows:
+                parts.append(part)
+    if parts:
+        yield pa.Table.from_batches(parts)
+
+
+def search(index: DataFrame, queries: DataFrame, id_col: str, vector_col: str, k: int, beam: int = 2 * BEAM, query_rows: int = QUERY_ROWS) -> DataFrame:
+    """query_id, rank, vec_id, score: each query's k nearest found, its own id left out.
+
+    The queries go to the index, a block of bounded size at a time: each is broadcast for one pass over the shards.
+    """
+    spark = queries.sparkSession
     asked = queries.select(F.col(id_col).cast("long").alias("query_id"), F.col(vector_col).cast("array<double>").alias("query")).where(F.col("query_id").isNotNull() & usable(F.col("query"))).distinct()
-    blocks = max(1, -(-asked.count() // QUERY_ROWS))
+    asked = cut(asked)
+    blocks = max(1, -(-asked.count() // query_rows))
     index = cut(index)
-    shards = index.select("dim", "shard").distinct()
-    asked = asked.withColumn("block", F.pmod(F.xxhash64("query_id"), F.lit(blocks)).cast("int")).withColumn("dim", F.size("query"))
-    left = index.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-    right = asked.join(shards, "dim").select("query_id", "query", *[F.col(c).alias(c) for c in ("dim", "shard", "block")])
-
-    def walk(t: pa.Table, q: pa.Table) -> pa.Table:
-        out: list[list] = [[], [], []]
-        if len(t) and len(q):
-            t = t.sort_by("node")
-            exact, ids = _matrix(t.column("vector"), np.float64), t.column("ids").to_pylist()
-            vectors, graph, entry = exact.astype(np.float32), _matrix(t.column("neighbours"), np.int64), t.column("entry")[0].as_py()
-            asks, who = _matrix(q.column("query"), np.float64), q.column("query_id").to_pylist()
-            for at in range(0, len(q), BATCH):
-                part = asks[at : at + BATCH]
-                found, _ = beam_search(vectors, graph, entry, part.astype(np.float32), max(beam, 2 * k))
-                for row, x, name in zip(found, part, who[at : at + BATCH], strict=True):
-                    row = row[row >= 0]
-                    score = np.sqrt(((exact[row] - x) ** 2).sum(axis=1))
-                    best = np.argsort(score, kind="stable")[: k + 1]
-                    for node, s in zip(row[best].tolist(), score[best].tolist(), strict=True):
-                        out[0].append(name)
-                        out[1].append(ids[node])
-                        out[2].append(s)
-        return pa.Table.from_arrays([pa.array(out[0], pa.int64()), pa.array(out[1], pa.list_(pa.int64())), pa.array(out[2], pa.float64())], names=["query_id", "ids", "score"])
-
-    keys = ["dim", "shard", "block"]
-    met = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(walk, "query_id long, ids array<long>, score double")
-    one = met.select("query_id", F.explode("ids").alias("vec_id"), "score").where("vec_id <> query_id")
-    best = Window.partitionBy("query_id").orderBy("score", "vec_id")
-    return one.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
+
+    def walk(block) -> DataFrame:
+        def go(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            names, vectors = block.value
+            sizes = np.array([len(v) for v in vectors], np.int64)
+            for t in _shards(batches):
+                mine = np.flatnonzero(sizes == t.column("dim")[0].as_py())
+                if not len(mine):
+                    continue
+                asks = np.stack([vectors[i] for i in mine.tolist()])
+                exact, ids = _matrix(t.column("vector"), np.float64), t.column("ids").to_pylist()
+                most = max(np.abs(exact).max(), np.abs(asks).max())
+                near, graph, entry = _scaled(exact, most), _matrix(t.column("neighbours"), np.int64), t.column("entry")[0].as_py()
+                for at in range(0, len(mine), BATCH):
+                    out: list[list] = [[], [], []]
+                    part = asks[at : at + BATCH]
+                    found, _ = beam_search(near, graph, entry, _scaled(part, most), max(beam, 2 * k))
+                    for row, x, i in zip(found, part, mine[at : at + BATCH].tolist(), strict=True):
+                        row = row[row >= 0]
+                        score = np.sqrt(((exact[row] - x) ** 2).sum(axis=1))
+                        best = np.argsort(score, kind="stable")[: k + 1]
+                        for node, s in zip(row[best].tolist(), score[best].tolist(), strict=True):
+                            out[0].append(names[i])
+                            out[1].append(ids[node])
+                            out[2].append(s)
+                    yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), pa.array(out[1], pa.list_(pa.int64())), pa.array(out[2], pa.float64())], names=["query_id", "ids", "score"])
+
+        return index.mapInArrow(go, "query_id long, ids array<long>, score double")
+
+    nearest = Window.partitionBy("query_id").orderBy("score", "vec_id")
+    done = []
+    for i in range(blocks):
+        rows = asked.where(F.pmod(F.xxhash64("query_id"), F.lit(blocks)) == i).orderBy("query_id").toArrow()
+        told = [np.array(v) for v in rows.column("query").to_pylist()]
+        block = spark.sparkContext.broadcast((rows.column("query_id").to_pylist(), told))
+        one = walk(block).select("query_id", F.explode("ids").alias("vec_id"), "score").where("vec_id <> query_id")
+        ranked = one.withColumn("rank", F.row_number().over(nearest)).where(F.col("rank") <= k)
+        done.append(cut(ranked.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")))
+        block.destroy()
+    return reduce(DataFrame.union, done)
 
 
 def op5_graph_ann(spark, sf_dir: str) -> DataFrame:

@@ -78,19 +78,23 @@ def cut_table(df: DataFrame) -> DataFrame:
     prepare_checkpoints(spark)
     path = f"{spark.sparkContext.getCheckpointDir()}/{uuid.uuid4().hex}"
     df.write.parquet(path)
-    if not _TABLES:
-        atexit.register(_delete_tables, spark)
-    _TABLES.append(path)
+    _delete_at_end(spark, path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-_TABLES: list[str] = []
+_WRITTEN: list[str] = []
 
 
-def _delete_tables(spark: SparkSession) -> None:
+def _delete_at_end(spark: SparkSession, path: str) -> None:
+    if not _WRITTEN:
+        atexit.register(_delete_written, spark)
+    _WRITTEN.append(path)
+
+
+def _delete_written(spark: SparkSession) -> None:
     if spark.sparkContext._jsc is None:  # stopped already
         return
-    for path in _TABLES:
+    for path in _WRITTEN:
         where = spark._jvm.org.apache.hadoop.fs.Path(path)
         where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
@@ -103,11 +107,18 @@ def bound_batches(spark: SparkSession) -> None:
 
 
 def prepare_checkpoints(spark: SparkSession) -> None:
-    """Use the shared folder that the cluster names; only where none is named (tests), one of our own."""
+    """Use the shared folder that the cluster names; where none is named, one of our own on a single machine only.
+
+    What is written there is deleted when the driver ends.
+    """
     bound_batches(spark)
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="tessera-"))
+        shared = spark.conf.get("spark.checkpoint.dir", None)
+        if not shared and not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        sc.setCheckpointDir(shared or tempfile.mkdtemp(prefix="tessera-"))
+        _delete_at_end(spark, sc.getCheckpointDir())
 
 
 def cut(df: DataFrame) -> DataFrame:

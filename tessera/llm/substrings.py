@@ -10,7 +10,7 @@ whole). Spark sorts (name, position) rows at growing lengths, and what turns out
 2. the whole stretch of windows that one representative stands for: a stretch seen earlier is a copy, and all
    its windows are removed at once. Copies of documents end here, whatever their number.
 3. the threshold itself: of the first stretches whose name recurs with different surroundings, every window is
-   named by the pair (64 bytes at it, 64 bytes at threshold - 64 further on) and sorted once more.
+   named by the hashes of the 64-byte parts that cover it (two at 100 bytes) and sorted once more.
 
 The sorts stream: a task remembers the last row only, so a name shared by a third of all rows needs no memory;
 repeats inside a batch are settled before the shuffle.
@@ -41,6 +41,8 @@ STRETCH = 1 << 19
 
 #: Texts among which repeats are settled before the shuffle.
 EMIT_ROWS = 1_024
+#: Bytes of the parts whose hashes name a window; as many as cover it.
+PART = 64
 #: Neighbouring windows that are sorted in one task.
 SLOT = 8
 #: Columns that the operator adds for itself.
@@ -188,18 +190,20 @@ def _windows(batches: Iterator[pa.RecordBatch], threshold: int, text_at: int) ->
     """
     from xxhash import xxh64_intdigest
 
-    half = min(64, threshold)
-    shift = threshold - half
+    half = min(PART, threshold)
+    shifts = sorted({min(k, threshold - half) for k in range(0, threshold, half)})
     for batch in batches:
         for doc, tag, text, spans in zip(batch.column(_DOC), batch.column(_TAG), batch.column(text_at), batch.column(_SPANS), strict=True):
             raw, doc, tag = text.as_buffer().to_pybytes(), doc.as_py(), tag.as_py()
             out: list[list[np.ndarray]] = []
             for s in spans.as_py():
                 a, n = s["start"], s["n"]
-                first = np.fromiter((xxh64_intdigest(raw[p : p + half]) for p in range(a, a + n)), np.uint64, n)
-                then = np.fromiter((xxh64_intdigest(raw[p + shift : p + threshold]) for p in range(a, a + n)), np.uint64, n)
-                pair = (first ^ (first >> np.uint64(31))) * _ODD + then
-                out.append([np.full(n, s["key"]), ((pair ^ (pair >> np.uint64(29))) * _MIX).view(np.int64), np.full(n, doc), np.full(n, tag), np.arange(a, a + n), (s["place"] - np.arange(n)) // SLOT])
+                name = np.zeros(n, np.uint64)
+                for shift in shifts:
+                    own = np.fromiter((xxh64_intdigest(raw[p : p + half]) for p in range(a + shift, a + shift + n)), np.uint64, n)
+                    name = (name ^ (name >> np.uint64(31))) * _ODD + own
+                    name = (name ^ (name >> np.uint64(29))) * _MIX
+                out.append([np.full(n, s["key"]), name.view(np.int64), np.full(n, doc), np.full(n, tag), np.arange(a, a + n), (s["place"] - np.arange(n)) // SLOT])
             cols = [np.concatenate(c) for c in zip(*out, strict=True)]
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], names=["key", "name", "doc", "tag", "start", "slot"])
 

@@ -52,7 +52,11 @@ def test_suffix_dedup_in_small_batches(spark, monkeypatch):
     monkeypatch.setattr(substrings, "EMIT_ROWS", 3)
     docs = texts()
     df = spark.createDataFrame(docs, "doc_id long, text string")
-    for threshold in (40, 130):
+    rng = random.Random(9)
+    shared = "".join(rng.choice("abcdefgh") for _ in range(400))
+    docs += [(2000 + k, shared[:180] + f"{k:010d}" + shared[190:]) for k in range(5)]  # windows that differ in their middle only
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    for threshold in (40, 130, 200, 300):
         got = {r["doc_id"]: len(r["kept"]) for r in substrings.deduplicate(df, threshold).collect()}
         assert got == {k: v[0] - v[1] for k, v in brute_repeats(docs, threshold).items()}
 

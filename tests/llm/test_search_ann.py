@@ -136,6 +136,31 @@ def test_ann_of_several_shards(spark):
     assert len(got) == 200 and found / 200 >= 0.95
 
 
+def test_ann_recall_over_shards_of_real_size(spark):
+    """Clustered vectors in three shards of the production size, blocks of queries, against brute force."""
+    rng = np.random.default_rng(5)
+    centres = rng.normal(size=(40, 16))
+    vectors = centres[rng.integers(0, 40, 10_000)] + 0.4 * rng.normal(size=(10_000, 16))
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "vec_id long, embedding array<double>").repartition(8)
+    index = ann.build_index(df, "vec_id", "embedding", 11)
+    got = collections.defaultdict(list)
+    for r in ann.search(index, df.where("vec_id % 100 = 0"), "vec_id", "embedding", 10, query_rows=40).orderBy("query_id", "rank").collect():
+        got[r["query_id"]].append(r["vec_id"])
+    found = 0
+    for q, mine in got.items():
+        d = ((vectors - vectors[q]) ** 2).sum(axis=1)
+        d[q] = np.inf
+        found += len(set(np.argsort(d)[:10].tolist()) & set(mine))
+    assert len(got) == 100 and found / 1000 >= 0.97
+
+
+def test_ann_of_very_large_components(spark):
+    rows = [(i, [1e30 * i, 1e30]) for i in range(50)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = ann.search(ann.build_index(df, "vec_id", "embedding", 3), df.where("vec_id = 20"), "vec_id", "embedding", 2).collect()
+    assert {r["vec_id"] for r in got} == {19, 21} and all(math.isclose(r["score"], 1e30) for r in got)
+
+
 def test_ann_cases(spark):
     inf, nan = float("inf"), float("nan")
     rows = [(0, [1.0, 0.0]), (1, [1.0, 0.0]), (2, [1.0, 0.0]), (3, [0.0, 2.0]), (4, [0.0, 0.0]), (5, None), (6, [1.0, None]), (7, [inf, 1.0]), (8, [nan, 1.0]), (9, [1.0, 1.0, 1.0]), (1, [1.0, 0.0]), (None, [3.0, 3.0]), (10, [])]
