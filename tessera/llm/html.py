@@ -4,7 +4,8 @@ Markup is stripped into lines, one per block; a tag that opens or ends a part of
 leaves an empty line. A line weighs its characters outside links, a heading all of its characters; lines of menus,
 notices and the like weigh nothing. A line's block weight is the sum over a window that starts there. Text starts at
 a surge (a block weight over the threshold after silence) and ends at the dive (the weights fall to nothing); all that
-lies between and is no boilerplate is kept, and so are headings right before a surge. The threshold sinks to the
+lies between and is no boilerplate is kept, and so are headings right before a surge and the other lines of a part of
+the page (a division, a section) whose own text surges. The threshold sinks to the
 page's own peak where a page is short, so a short article is still found.
 
 A page that marks its article (`article`, `main`, or those roles) is judged article by article: one that surges is
@@ -121,6 +122,7 @@ class Lines:
         self.weight: list[int] = []
         self.heading: list[bool] = []
         self.zone: list[int] = []
+        self.part: list[int] = []  # the number of the innermost part around
         #: characters outside links that boilerplate has
         self.silenced = 0
         self._weak_of: list[int] = []  # by line: the part whose links decide, 0: none
@@ -133,6 +135,7 @@ class Lines:
         self._quiet_p = False
         self._open: list[Element] = []
         self._at: dict[str, list[int]] = {}  # places in _open by name
+        self._parts_open, self._n_parts = [0], 0
         self._mains: list[int] = []  # places of main elements in _open
         self._outer: Element | None = None  # the outermost boilerplate
         self._silent = self._comments = self._headings = self._headers = self._weak = 0  # open elements of the kind
@@ -148,6 +151,7 @@ class Lines:
         self.weight.append(weight)
         self.heading.append(heading)
         self.zone.append(len(self._owner) - 1 if self._mains else 0)
+        self.part.append(self._parts_open[-1])
         self._weak_of.append(len(self._weak_size) - 1 if self._weak else 0)
 
     def _end_line(self) -> None:
@@ -202,6 +206,8 @@ class Lines:
             self._weak_size.append([0, 0])
         if name in PARTS:
             self._line("", 0, False)
+            self._n_parts += 1
+            self._parts_open.append(self._n_parts)
         self._count(e, 1)
         self._at.setdefault(name, []).append(len(self._open))
         self._open.append(e)
@@ -231,6 +237,8 @@ class Lines:
             e = self._open.pop()
             self._at[e.name].pop()
             self._count(e, -1)
+            if e.name in PARTS:
+                self._parts_open.pop()
             if e.main:
                 self._mains.pop()
                 self._silent = e.hushed
@@ -306,14 +314,17 @@ def chosen(weights: list[int], lines: Lines, window: int, surge: int) -> list[in
     limit = min(surge, max(peaks.values(), default=0))
     if limit:
         return [i for zone, at in by_zone.items() if peaks[zone] >= limit for i in at]
-    out, done = [], 0
+    kept, done, text_of = set(), 0, dict.fromkeys(lines.part, 0)
     for start, end in surges(weights, window, surge):
-        first = start
-        while first > done and (lines.heading[first - 1] or not lines.text[first - 1]):
-            first -= 1
-        out += range(first, end)
+        for i in range(start, end):
+            text_of[lines.part[i]] += weights[i]
+        while start > done and (lines.heading[start - 1] or not lines.text[start - 1]):
+            start -= 1
+        kept.update(range(start, end))
         done = end
-    return out
+    # a part of the page that holds a surge by itself is kept beyond a break in it (an advert, a list of links)
+    limit = min(surge, max(text_of.values(), default=0))
+    return [i for i, part in enumerate(lines.part) if i in kept or weights[i] and limit and text_of[part] >= limit]
 
 
 def main_text(page: str | None, window: int = WINDOW, surge: int = SURGE) -> str:
