@@ -13,8 +13,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-#: Nodes that open a branch.
-BRANCHES = (ast.If, ast.IfExp, ast.For, ast.AsyncFor, ast.While, ast.ExceptHandler, ast.Assert, ast.With, ast.AsyncWith, ast.match_case, ast.comprehension)
+#: Nodes that add one path each.
+BRANCHES = (ast.If, ast.For, ast.AsyncFor, ast.While, ast.ExceptHandler, ast.IfExp, ast.match_case)
+FUNCTIONS = (ast.FunctionDef, ast.AsyncFunctionDef)
 
 
 def parse(source: str | None) -> ast.Module | None:
@@ -24,33 +25,74 @@ def parse(source: str | None) -> ast.Module | None:
         return None
 
 
+def own(node: ast.AST) -> Iterator[ast.AST]:
+    """Nodes below a node that are its own: a function or class inside counts, what is in it does not."""
+    todo = list(ast.iter_child_nodes(node))
+    while todo:
+        x = todo.pop()
+        yield x
+        if not isinstance(x, (*FUNCTIONS, ast.ClassDef)):
+            todo += ast.iter_child_nodes(x)
+
+
 def complexity(node: ast.AST) -> int:
-    """1, plus one per branch and per further operand of and/or."""
-    n = 1
-    for x in ast.walk(node):
-        n += isinstance(x, BRANCHES) + (len(x.values) - 1 if isinstance(x, ast.BoolOp) else 0)
-    return n
+    """1, plus one per branch, per further operand of and/or, per `for` and per `if` of a comprehension."""
 
+    def paths(x: ast.AST) -> int:
+        if isinstance(x, ast.BoolOp):
+            return len(x.values) - 1
+        return 1 + len(x.ifs) if isinstance(x, ast.comprehension) else int(isinstance(x, BRANCHES))
+
+    return 1 + sum(map(paths, own(node)))
+
+
+def signature(x: ast.FunctionDef | ast.AsyncFunctionDef) -> str:
+    returns = f" -> {ast.unparse(x.returns)}" if x.returns else ""
+    return f"{'async ' if isinstance(x, ast.AsyncFunctionDef) else ''}{x.name}({ast.unparse(x.args)}){returns}"
 
-def functions(tree: ast.Module, module: str) -> Iterator[dict]:
-    """Functions and methods, nested classes included, functions inside functions not."""
 
-    def walk(body: list, prefix: str, parent: str | None) -> Iterator[dict]:
+def _spans(tree: ast.Module, module: str) -> Iterator[tuple[str, str | None, ast.FunctionDef | ast.AsyncFunctionDef]]:
+    """(qualname, enclosing class, node) of functions and methods, nested classes included, functions in functions not."""
+
+    def walk(body: list, prefix: str, parent: str | None) -> Iterator:
         for x in body:
+            name = f"{prefix}.{getattr(x, 'name', '')}" if prefix else getattr(x, "name", "")
             if isinstance(x, ast.ClassDef):
-                yield from walk(x.body, f"{prefix}.{x.name}" if prefix else x.name, f"{prefix}.{x.name}" if prefix else x.name)
-            elif isinstance(x, ast.FunctionDef | ast.AsyncFunctionDef):
-                calls = sorted({ast.unparse(c.func) for c in ast.walk(x) if isinstance(c, ast.Call)})
-                raised = sorted({ast.unparse(r.exc.func if isinstance(r.exc, ast.Call) else r.exc) for r in ast.walk(x) if isinstance(r, ast.Raise) and r.exc})
-                yield {
-                    "qualname": f"{prefix}.{x.name}" if prefix else x.name, "name": x.name, "parent": parent, "line": x.lineno, "end_line": x.end_lineno,
-                    "signature": f"{x.name}({ast.unparse(x.args)})", "docstring": ast.get_docstring(x), "decorators": [ast.unparse(d) for d in x.decorator_list],
-                    "complexity": complexity(x), "calls": calls, "raises": raised,
-                }
+                yield from walk(x.body, name, name)
+            elif isinstance(x, FUNCTIONS):
+                yield name, parent, x
 
     return walk(tree.body, module, None)
 
 
+def functions(tree: ast.Module, module: str) -> Iterator[dict]:
+    for qualname, parent, x in _spans(tree, module):
+        calls = sorted({ast.unparse(c.func) for c in own(x) if isinstance(c, ast.Call)})
+        raised = sorted({ast.unparse(r.exc.func if isinstance(r.exc, ast.Call) else r.exc) for r in own(x) if isinstance(r, ast.Raise) and r.exc})
+        yield {
+            "qualname": qualname, "name": x.name, "parent": parent, "line": x.lineno, "end_line": x.end_lineno,
+            "signature": signature(x), "docstring": ast.get_docstring(x), "decorators": [ast.unparse(d) for d in x.decorator_list],
+            "complexity": complexity(x), "calls": calls, "raises": raised,
+        }
+
+
+def _dotted(node: ast.AST) -> str | None:
+    """a.b.c of a chain of names; null for anything else."""
+    names = []
+    while isinstance(node, ast.Attribute):
+        names.append(node.attr)
+        node = node.value
+    return ".".join([node.id, *reversed(names)]) if isinstance(node, ast.Name) else None
+
+
+def calls(tree: ast.Module, module: str) -> Iterator[dict]:
+    """Calls that functions make themselves: the callee's text, and its dotted name where it is one."""
+    for qualname, parent, x in _spans(tree, module):
+        for c in own(x):
+            if isinstance(c, ast.Call):
+                yield {"caller": qualname, "enclosing": parent, "text": ast.unparse(c.func), "dotted": _dotted(c.func), "line": c.lineno}
+
+
 def imports(tree: ast.Module) -> Iterator[dict]:
     for x in ast.walk(tree):
         if isinstance(x, ast.Import):
@@ -74,10 +116,11 @@ def classes(tree: ast.Module, module: str) -> Iterator[dict]:
 
 _FUNCTION = "qualname string, name string, parent string, line int, end_line int, signature string, docstring string, decorators array<string>, complexity int, calls array<string>, raises array<string>"
 _IMPORT = "kind string, module string, name string, asname string, level int, line int"
+_CALL = "caller string, enclosing string, text string, dotted string, line int"
 _CLASS = "qualname string, name string, line int, end_line int, docstring string, bases array<string>"
 
 
-def _rows(sources: DataFrame, keep: list[str], source: str, module: str | None, schema: str, find: Callable) -> DataFrame:
+def _rows(sources: DataFrame, keep: list[str], source: str, module: str | None, schema: str, find: Callable, whole: bool = False) -> DataFrame:
     fields = [f.split()[0] for f in schema.split(", ")]
     kept = ", ".join(f"`{c}` {t}" for c, t in sources.select(*keep).dtypes)
     fed = sources.select(*keep, F.col(source).alias("__source"), (F.col(module) if module else F.lit("")).alias("__module"))
@@ -89,7 +132,8 @@ def _rows(sources: DataFrame, keep: list[str], source: str, module: str | None,
             for row in batch.itertuples(index=False):
                 tree = parse(row[-2])
                 if tree is not None:
-                    out += [(*row[: len(keep)], *(f[k] for k in fields)) for f in (find(tree, row[-1]) if module else find(tree))]
+                    given = (tree, row[-1], row[-2]) if whole else (tree, row[-1]) if module else (tree,)
+                    out += [(*row[: len(keep)], *(f[k] for k in fields)) for f in find(*given)]
             yield pd.DataFrame(out, columns=names)
 
     return fed.mapInPandas(run, f"{kept}, {schema}")
@@ -104,6 +148,10 @@ def import_table(sources: DataFrame, keep: list[str], source: str) -> DataFrame:
     return _rows(sources, keep, source, None, _IMPORT, imports)
 
 
+def call_table(sources: DataFrame, keep: list[str], source: str, module: str) -> DataFrame:
+    return _rows(sources, keep, source, module, _CALL, calls)
+
+
 def class_table(sources: DataFrame, keep: list[str], source: str, module: str) -> DataFrame:
     return _rows(sources, keep, source, module, _CLASS, classes)
 
@@ -158,66 +206,80 @@ side_effects = _per_text(T.BooleanType(), None, _side_effects)
 identifiers = _per_text(T.ArrayType(T.StringType()), [], lambda tree: sorted({x.id for x in ast.walk(tree) if isinstance(x, ast.Name)} | {x.attr for x in ast.walk(tree) if isinstance(x, ast.Attribute)}))
 
 
-#: Operators and what they turn into.
-SWAPS = {ast.Lt: ast.GtE, ast.GtE: ast.Lt, ast.Gt: ast.LtE, ast.LtE: ast.Gt, ast.Eq: ast.NotEq, ast.NotEq: ast.Eq, ast.Add: ast.Sub, ast.Sub: ast.Add, ast.Mult: ast.Div, ast.Div: ast.Mult, ast.And: ast.Or, ast.Or: ast.And}
-#: Operators and their neighbours at the boundary.
+#: Operators of a comparison and their opposites, their neighbours at the boundary, of arithmetic, of logic.
+FLIPS = {ast.Lt: ast.Gt, ast.Gt: ast.Lt, ast.LtE: ast.GtE, ast.GtE: ast.LtE, ast.Eq: ast.NotEq, ast.NotEq: ast.Eq, ast.Is: ast.IsNot, ast.IsNot: ast.Is, ast.In: ast.NotIn, ast.NotIn: ast.In}
 EDGES = {ast.Lt: ast.LtE, ast.LtE: ast.Lt, ast.Gt: ast.GtE, ast.GtE: ast.Gt}
-
-
-def mutants(source: str | None) -> list[tuple[str, str]]:
-    """(operator, text): the source with one place changed, each of which parses and differs."""
-    if parse(source) is None:
-        return []
-    plan: list[tuple[str, Callable[[ast.AST], bool], Callable[[ast.AST], None]]] = []
-    for name, table in (("swap", SWAPS), ("boundary", EDGES)):
-        for field in ("op", "ops"):
-            def fits(x, field=field, table=table):
-                op = getattr(x, field, None)
-                return type(op[0] if isinstance(op, list) and op else op) in table
-
-            def change(x, field=field, table=table):
-                op = getattr(x, field)
-                setattr(x, field, [table[type(op[0])](), *op[1:]] if isinstance(op, list) else table[type(op)]())
-
-            plan.append((name, fits, change))
-    number = lambda x: isinstance(x, ast.Constant) and type(x.value) in (int, float, bool)
-    plan.append(("constant", number, lambda x: setattr(x, "value", not x.value if isinstance(x.value, bool) else x.value + 1)))
-    plan.append(("return_none", lambda x: isinstance(x, ast.Return) and x.value is not None and not (isinstance(x.value, ast.Constant) and x.value.value is None), lambda x: setattr(x, "value", ast.Constant(None))))
-    plan.append(("delete", lambda x: isinstance(getattr(x, "body", None), list) and any(isinstance(s, ast.Expr | ast.Assign | ast.AugAssign) for s in x.body), _delete_one))
-    out, plain = [], ast.unparse(ast.parse(source))
-    for name, fits, change in plan:
-        for k in range(sum(map(fits, ast.walk(ast.parse(source))))):
-            tree = ast.parse(source)
-            change([x for x in ast.walk(tree) if fits(x)][k])
-            made = ast.unparse(ast.fix_missing_locations(tree))
+SWAPS = {ast.Add: ast.Sub, ast.Sub: ast.Add, ast.Mult: ast.Div, ast.Div: ast.Mult}
+LOGIC = {ast.And: ast.Or, ast.Or: ast.And}
+#: The kinds of change, in the order in which they take turns; statements that are never deleted.
+OPERATORS = ["comparison_flip", "comparison_boundary", "arithmetic_swap", "and_or_swap", "return_none", "constant_tweak", "statement_delete"]
+STAYS = (ast.Pass, ast.Return, ast.Raise, ast.Break, ast.Continue, *FUNCTIONS, ast.ClassDef)
+
+
+def _changes(node: ast.AST) -> Iterator[tuple[str, str, object]]:
+    """(kind, field, what goes there) of every change that one node allows."""
+    if isinstance(node, ast.Compare):
+        for kind, table in (("comparison_flip", FLIPS), ("comparison_boundary", EDGES)):
+            for i, op in enumerate(node.ops):
+                if type(op) in table:
+                    yield kind, "ops", [*node.ops[:i], table[type(op)](), *node.ops[i + 1 :]]
+    for kind, of, table in (("arithmetic_swap", ast.BinOp, SWAPS), ("and_or_swap", ast.BoolOp, LOGIC)):
+        if isinstance(node, of) and type(node.op) in table:
+            yield kind, "op", table[type(node.op)]()
+    if isinstance(node, ast.Return) and node.value is not None and not (isinstance(node.value, ast.Constant) and node.value.value is None):
+        yield "return_none", "value", ast.Constant(None)
+    if isinstance(node, ast.Constant) and isinstance(node.value, int | float):
+        yield "constant_tweak", "value", not node.value if isinstance(node.value, bool) else node.value + 1
+    if not isinstance(node, ast.Module):
+        for field in ("body", "orelse", "finalbody"):
+            block = getattr(node, field, None)
+            for i, x in enumerate(block if isinstance(block, list) else []):
+                remark = i == 0 and isinstance(x, ast.Expr) and isinstance(x.value, ast.Constant)
+                if isinstance(x, ast.stmt) and not isinstance(x, STAYS) and not remark:
+                    yield "statement_delete", field, [*block[:i], *block[i + 1 :]] or [ast.Pass()]
+
+
+def mutants(span: str) -> Iterator[tuple[str, int, str]]:
+    """(kind, number within the kind, text): a span of lines with one place changed, each of which parses and differs.
+
+    The span is parsed once; a change is put into the tree, written out, and taken back.
+    """
+    pad = min((len(x) - len(x.lstrip()) for x in span.splitlines() if x.strip()), default=0)
+    tree = parse("\n".join(x[pad:] if x.strip() else "" for x in span.splitlines()))
+    plain, found = ast.unparse(tree) if tree else "", {k: 0 for k in OPERATORS}
+    for node in ast.walk(tree) if tree else ():
+        for kind, field, value in list(_changes(node)):
+            before = getattr(node, field)
+            setattr(node, field, value)
+            made = ast.unparse(tree)
+            setattr(node, field, before)
             if made != plain and parse(made) is not None:
-                out.append((name, made))
-    return out
+                yield kind, found[kind], "".join(f"{' ' * pad}{x}\n" if x.strip() else "\n" for x in made.splitlines())
+                found[kind] += 1
 
 
-def _delete_one(node: ast.AST) -> None:
-    at = next(i for i, s in enumerate(node.body) if isinstance(s, ast.Expr | ast.Assign | ast.AugAssign))
-    node.body[at] = ast.Pass()
+def function_mutants(tree: ast.Module, module: str, source: str) -> Iterator[dict]:
+    """Changes of every function; lines outside of it stay as they are, byte by byte."""
+    lines = source.splitlines(keepends=True)
+    for qualname, _, x in _spans(tree, module):
+        for kind, depth, text in mutants("".join(lines[x.lineno - 1 : x.end_lineno])):
+            yield {"qualname": qualname, "operator": kind, "depth": depth, "mutant": "".join([*lines[: x.lineno - 1], text, *lines[x.end_lineno :]])}
 
 
-def mutant_table(sources: DataFrame, keep: list[str], source: str, count: int | None = None) -> DataFrame:
-    """keep, operator, depth, mutant: one change per row; with count, the first of them in turns over the operators."""
-    made = _rows(sources, keep, source, None, "operator string, depth int, mutant string", lambda tree: _depths(mutants(ast.unparse(tree))))
+def mutant_table(sources: DataFrame, keep: list[str], source: str, module: str, count: int | None = None) -> DataFrame:
+    """keep, qualname, operator, depth, mutant: one change of a function per row; with count, the first of each function,
+    the kinds taking turns."""
+    kept = [c for c in keep if c != source]
+    made = _rows(sources, [*kept, source], source, module, "qualname string, operator string, depth int, mutant string", lambda tree, name, text: function_mutants(tree, name, text), whole=True).drop(source)
     if count is None:
         return made
     from pyspark.sql import Window
 
-    w = Window.partitionBy(*keep).orderBy("depth", "operator")
+    turn = F.array_position(F.array(*map(F.lit, OPERATORS)), F.col("operator"))
+    w = Window.partitionBy(*kept, "qualname").orderBy("depth", turn)
     return made.withColumn("__rn", F.row_number().over(w)).where(F.col("__rn") <= count).drop("__rn")
 
 
-def _depths(found: list[tuple[str, str]]) -> Iterator[dict]:
-    seen: dict[str, int] = {}
-    for name, text in found:
-        yield {"operator": name, "depth": seen.get(name, 0), "mutant": text}
-        seen[name] = seen.get(name, 0) + 1
-
-
 def excise(source: str, qualpath: list[str], replacement: str) -> str | None:
     """Source with a function's body replaced, every other byte as it was; null if there is no such function."""
     tree = parse(source)

@@ -16,7 +16,7 @@ from tessera.plans.ship import ship
 
 FLAGSHIP = "join_01_interval_hits"
 
-_MODULES = ("q_sources", "q_filters", "q_joins", "q_aggregates", "q_sequences", "q_scalars", "q_nested", "q_iteration", "q_streams", "q_funnels")
+_MODULES = ("q_sources", "q_filters", "q_joins", "q_aggregates", "q_sequences", "q_scalars", "q_nested", "q_iteration", "q_streams", "q_funnels", "q_symbols")
 
 
 @dataclass(frozen=True)

@@ -99,9 +99,30 @@ def test_source_facts(spark):
     (f,) = pa_.function_table(df, ["id"], "source", "module").collect()
     assert (f["qualname"], f["complexity"], f["raises"], f["line"], f["end_line"]) == ("p.m.A.m", 3, ["KeyError"], 5, 8)
     assert [(r["id"], r["p"]) for r in df.select("id", pa_.parses("source").alias("p")).orderBy("id").collect()] == [(1, True), (2, False)]
-    found = pa_.mutant_table(df, ["id"], "source").collect()
-    assert {r["operator"] for r in found} >= {"swap", "boundary", "constant", "return_none"} and all(r["id"] == 1 for r in found)
-    assert len({r["mutant"] for r in found}) == len(found)
+    found = pa_.mutant_table(df, ["id"], "source", "module").collect()
+    assert {r["operator"] for r in found} == {"comparison_flip", "comparison_boundary", "arithmetic_swap", "and_or_swap", "return_none", "constant_tweak", "statement_delete"}
+    assert len({r["mutant"] for r in found}) == len(found) and all(r["id"] == 1 and r["qualname"] == "p.m.A.m" for r in found)
+
+
+def test_complexity_and_mutants():
+    import ast
+
+    count = lambda s: pa_.complexity(ast.parse(s).body[0])
+    assert count("def f(xs):\n    return [x for x in xs if x > 0 if x < 10]\n") == 4
+    assert count("def f():\n    assert 1\n    with a:\n        pass\n") == 1
+    assert count("def f():\n    def g():\n        if a:\n            pass\n") == 1
+    assert count("def f(x):\n    return 1 if x and y or z else 2\n") == 4
+    text = "def f(x):\n    'Doc.'\n    try:\n        a = x is None\n    finally:\n        b = x in a\n    return (yield)\n"
+    made = {}
+    for kind, _, new in pa_.mutants(text):
+        ast.parse(new)
+        made.setdefault(kind, []).append(new)
+    assert any("x is not None" in m for m in made["comparison_flip"]) and any("x not in a" in m for m in made["comparison_flip"])
+    assert len(made["statement_delete"]) == 3 and all("Doc." in m for m in made["statement_delete"]) and len(made["return_none"]) == 1
+    assert any("finally:\n        pass" in m for m in made["statement_delete"])
+    assert list(pa_.mutants("def (")) == []
+    inner = [m for _, _, m in pa_.mutants("    def f(x):\n        return x < 1\n")]
+    assert inner and all(m.startswith("    def f(x):\n        return") for m in inner)
 
 
 def test_excise():
