@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -53,11 +53,13 @@ def positional_diff(seqs: list[DataFrame], by: list[str], ord_col: str, value: s
 
 def first_later(df: DataFrame, same: list[str], id_col: str, ord_col: str, extra: Column | None = None) -> DataFrame:
     """id, later: for each row the first row of equal `same` values with a greater ord (and `extra` over l, r)."""
-    cond = F.col(f"r.{ord_col}") > F.col(f"l.{ord_col}")
+    if extra is None:  # the next greater ord of a group, and its least id: a window over the distinct ords
+        groups = df.dropna(subset=[*same, ord_col]).groupBy(*same, ord_col).agg(F.min(id_col).alias("__first"))
+        following = groups.withColumn("later", F.lead("__first").over(Window.partitionBy(*same).orderBy(ord_col))).where("later IS NOT NULL")
+        return df.join(following, [*same, ord_col]).select(id_col, "later")
+    cond = (F.col(f"r.{ord_col}") > F.col(f"l.{ord_col}")) & extra
     for c in same:
         cond &= F.col(f"l.{c}") == F.col(f"r.{c}")
-    if extra is not None:
-        cond &= extra
     pairs = df.alias("l").join(df.alias("r"), cond)
     return pairs.groupBy(F.col(f"l.{id_col}").alias(id_col)).agg(F.min_by(F.col(f"r.{id_col}"), F.struct(F.col(f"r.{ord_col}"), F.col(f"r.{id_col}"))).alias("later"))
 

@@ -22,14 +22,19 @@ def lines_with_tokens(df: DataFrame, keep: list[str], text: str, at_least: int,
 
 def contained_lines(lines: DataFrame, texts: DataFrame, line: str, text: str, anchor: int) -> DataFrame:
     """Pairs of a line and a text that holds it, via the line's first `anchor` words: only texts that hold that run of
-    words anywhere are compared, so nothing is joined crosswise."""
+    words anywhere are compared, so nothing is joined crosswise. Runs of words travel as hashes beside a digest of their
+    text, and only those that some line starts with; the texts themselves meet their lines last."""
     words = lambda c: F.split(c, " ")
     head = lines.where(F.size(words(F.col(line))) >= anchor).withColumn("__key", F.xxhash64(F.array_join(F.slice(words(F.col(line)), 1, anchor), " ")))
-    runs = texts.withColumn("__w", words(squeeze(F.col(text)))).withColumn("__flat", F.array_join("__w", " "))
+    flat = squeeze(F.col(text))
+    digest = F.sha2(F.coalesce(F.col(text), F.lit("")).cast("binary"), 256)
     # a line may start inside a word of the text, so the first word is compared by its end: the key skips it
+    w = texts.select(digest.alias("__digest"), words(flat).alias("__w"))
     grams = F.transform(F.sequence(F.lit(1), F.size("__w") - anchor + 1), lambda i: F.xxhash64(F.array_join(F.slice("__w", i, anchor), " ")))
-    keyed = runs.where(F.size("__w") >= anchor).withColumn("__key", F.explode(F.array_distinct(grams)))
-    return head.join(keyed, "__key").where(F.contains(F.col("__flat"), F.col(line))).drop("__key", "__w", "__flat")
+    keyed = w.where(F.size("__w") >= anchor).select("__digest", F.explode(F.array_distinct(grams)).alias("__key"))
+    met = keyed.join(head.select("__key").distinct(), "__key").distinct()
+    told = texts.withColumn("__digest", digest).withColumn("__flat", flat)
+    return met.join(told, "__digest").join(head, "__key").where(F.contains(F.col("__flat"), F.col(line))).drop("__key", "__digest", "__flat")
 
 
 def leaked_names(text: Column, names: Column, allowed: Column, at_least: int) -> Column:
@@ -44,7 +49,7 @@ def mask(text: Column, names: list[str], by: str = "[...]") -> Column:
     import re
 
     for name in sorted(set(names), key=lambda n: (-len(n), n)):
-        text = F.regexp_replace(text, rf"\b{re.escape(name)}\b", by.replace("$", r"\$"))
+        text = F.regexp_replace(text, rf"(?<![\p{{L}}\p{{N}}_]){re.escape(name)}(?![\p{{L}}\p{{N}}_])", by.replace("$", r"\$"))
     return text
 
 

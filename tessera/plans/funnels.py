@@ -10,11 +10,12 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions import paths as pt
 from tessera.operators import joins as jn
+from tessera.operators import sequences
 from tessera.operators.rules import Rule, additive_score, first_reason, funnel
 
 
@@ -267,4 +268,5 @@ def outcomes_identical(runs: DataFrame, by: list[str]) -> DataFrame:
 
 def order_candidates(scored: DataFrame) -> DataFrame:
     """scored commits with their place: by score, the newest of equals first."""
-    return scored.withColumn("place", F.row_number().over(Window.orderBy(F.desc("score"), "ord")) - 1)
+    ranked = sequences.with_ordinals(scored.withColumn("__low", -F.col("score")), ["__low", "ord"], "place")
+    return ranked.drop("__low")

@@ -189,11 +189,11 @@ def new_names(spark, d):
     return p.where("p_retailprice > 950").select("name").subtract(p.where("p_retailprice < 930 AND p_size < 25").select("name"))
 
 
-@query("set_13_unknown_words", "SET-13 SCL-51", "SELECT doc_id, array_to_string(list_sort(list_distinct(list_filter(regexp_extract_all(regexp_replace(text, '[^ -~]', 'x', 'g'), '\\b[A-Z][a-z]{2,}\\b'), lambda w: w NOT IN ('The', 'And', 'Les', 'Des', 'Der', 'Die')))), ' ') AS names FROM documents WHERE lang = 'en'")
+@query("set_13_unknown_words", "SET-13 SCL-51", "SELECT doc_id, array_to_string(list_sort(list_distinct(list_filter(regexp_extract_all(text, '[A-Za-z0-9_]+'), lambda w: regexp_full_match(w, '[A-Z][a-z]{2,}') AND w NOT IN ('The', 'And', 'Les', 'Des', 'Der', 'Die')))), ' ') AS names FROM documents")
 def unknown_words(spark, d):
-    names = F.regexp_extract_all(F.regexp_replace("text", "[^ -~]", "x"), F.lit(r"\b[A-Z][a-z]{2,}\b"), F.lit(0))
+    names = F.filter(F.regexp_extract_all("text", F.lit("[A-Za-z0-9_]+"), F.lit(0)), lambda w: w.rlike("^[A-Z][a-z]{2,}$"))
     known = F.array(*[F.lit(w) for w in ("The", "And", "Les", "Des", "Der", "Die")])
-    return table(spark, d, "documents").where("lang = 'en'").select("doc_id", F.array_join(F.array_sort(F.array_except(F.array_distinct(names), known)), " ").alias("names"))
+    return table(spark, d, "documents").select("doc_id", F.array_join(F.array_sort(F.array_except(F.array_distinct(names), known)), " ").alias("names"))
 
 
 @query("set_14_leaked_names", "SET-14 SCL-33 SCL-34", r"SELECT b.item_id, d.doc_id FROM (SELECT item_id, trim(regexp_replace(unnest(string_split(text, chr(10))), '\s+', ' ', 'g')) AS line FROM benchmark) b JOIN (SELECT doc_id, trim(regexp_replace(text, '\s+', ' ', 'g')) AS flat FROM documents) d ON len(regexp_extract_all(line, '[A-Za-z0-9_]+|[^A-Za-z0-9_\s]')) >= 5 AND len(string_split(line, ' ')) >= 4 AND contains(' ' || flat, ' ' || line) GROUP BY ALL")
