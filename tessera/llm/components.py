@@ -2,7 +2,8 @@
 
 A step is a partial aggregate (smallest neighbour of each node) and an equi-join, so a hub of any degree is
 summed map-side and its join partition can be split; the number of steps grows with the logarithm of the
-longest path. Each step is checkpointed in the shared folder.
+longest path. Each step is checkpointed in the shared folder. A step is dealt over as many tasks as its edges ask for:
+a few edges over hundreds of partitions would cost more in files than they hold.
 """
 
 from __future__ import annotations
@@ -14,22 +15,27 @@ from tessera.llm.common import cut
 
 #: Steps after which an unfinished run raises instead of looping for ever.
 MAX_STEPS = 60
+#: Edges that a task handles.
+TASK_EDGES = 100_000
 
 
 def components(edges: DataFrame) -> DataFrame:
     """edges (a long, b long) -> node, root: the smallest node reachable. Self-loops keep a node without partners."""
     e = cut(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
-    seen = None
+    n, seen = e.count(), None
     for _ in range(MAX_STEPS):
+        few = lambda df, tasks=max(1, -(-n // TASK_EDGES)): df.coalesce(tasks)
+        e = few(e)
         both = e.union(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("m"))
+        least = few(both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("m")))
         # large star: neighbours above a node move to the smallest of its neighbourhood
-        large = both.join(least, "a").where(F.col("b") >= F.col("a")).select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+        large = few(few(both.join(least, "a")).where(F.col("b") >= F.col("a")).select(F.col("b").alias("a"), F.col("m").alias("b")).distinct())
         # small star: what lies at or below a node moves there too
-        down = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(down, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).union(down.select("a", F.col("m").alias("b")))
-        e = cut(small.distinct())
+        down = few(large.groupBy("a").agg(F.min("b").alias("m")))
+        small = few(large.join(down, "a")).select(F.col("b").alias("a"), F.col("m").alias("b")).union(down.select("a", F.col("m").alias("b")))
+        e = cut(few(small.distinct()))
         state = e.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(20,0)"))).first()
+        n = state[0]
         if state == seen:
             break
         seen = state
