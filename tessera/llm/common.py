@@ -122,6 +122,14 @@ def prepare_checkpoints(spark: SparkSession) -> None:
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """Materialise df in the reliable checkpoint folder: it is computed once and survives lost executors."""
-    prepare_checkpoints(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Materialise df in the reliable checkpoint folder: it is computed once and survives lost executors.
+
+    Nothing behind the cut is needed any more. Spark deletes its shuffle files once the driver has collected what refers
+    to them, which a driver that is mostly idle would put off for long; so that is asked for here.
+    """
+    spark = df.sparkSession
+    prepare_checkpoints(spark)
+    done = df.checkpoint(eager=True)
+    del df
+    spark._jvm.System.gc()
+    return done
