@@ -37,8 +37,8 @@ BUCKETS, TARGET_ROWS = 1 << 17, 20_000
 CACHE_SIZE = 300_000
 #: Added to every bucket's count, so that unseen n-grams stay comparable.
 SMOOTHING = 1.0
-#: Inverse temperature: factor of the weight per n-gram before noise of unit scale is added. At 12, noise changes some
-#: four in a thousand of the selected documents of the given tables; at 32, one in two thousand.
+#: Inverse temperature: factor of the weight per n-gram before noise of unit scale is added. At 12, noise changes two
+#: to four in a thousand of the selected documents of the given tables; at 32, fewer than one.
 SHARPNESS = 12.0
 
 WORD = re.compile(r"\w+|[^\w\s]+")
