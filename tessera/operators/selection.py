@@ -1,7 +1,7 @@
 """Quota selection: a set-based greedy fill, then repairs for variety on the small pool that is eligible.
 
-The pool that enters the repairs is bounded by `POOL`: the best rows per (type, module, difficulty) are enough,
-since a repair only ever swaps in the most preferred row of such a cell that is not chosen yet.
+The pool that enters the repairs is bounded by the quotas and loses nothing, as `_pool` shows: a repair only ever swaps
+in the most preferred row of a (type, difficulty, module) that is not chosen yet.
 """
 
 from __future__ import annotations
@@ -60,16 +60,21 @@ def check_feasible(df: DataFrame, q: Quotas) -> None:
 
 
 def _pool(df: DataFrame, q: Quotas) -> list[dict]:
-    """The `total` best rows of each (type, module, difficulty): all that a repair can use."""
-    w = Window.partitionBy("type", "module", "difficulty").orderBy(*_pref())
-    cells = df.withColumn("__rn", F.row_number().over(w)).where(F.col("__rn") <= q.total)
-    # of the cells, the best `total` per type and module are candidates for variety, per difficulty for spread
-    m = Window.partitionBy("type", "module").orderBy(*_pref())
-    d = Window.partitionBy("type", "difficulty").orderBy(*_pref())
-    best = cells.withColumn("__m", F.row_number().over(m)).withColumn("__d", F.row_number().over(d))
-    first = F.row_number().over(Window.partitionBy("type").orderBy(F.col("__m"), *_pref()))
-    bounded = best.withColumn("__f", first).where((F.col("__f") <= 4 * q.total) | (F.col("__d") <= 2 * q.total))
-    return [r.asDict() for r in bounded.select("id", "type", "module", "difficulty", "weight").orderBy(*_pref()).collect()]
+    """All that a repair can use: `total` rows of each of the best cells of a (type, difficulty), `total + 3` of them.
+
+    A cell is a (type, difficulty, module); its rows are alike to every rule, so only its best rows not chosen count. A
+    swap that a row of a chosen module allows, the best row of a module not chosen allows as well. As at most `total`
+    modules are chosen (and a row without one, null or empty, adds none), that row heads one of the `total + 3` best
+    cells, and what is preferred to it lies in cells with better heads still.
+    """
+    cell = ["type", "difficulty", "module"]
+    ranked = df.select("id", *cell, "weight").withColumn("__rn", F.row_number().over(Window.partitionBy(*cell).orderBy(*_pref())))
+    best = ranked.where(F.col("__rn") <= q.total)
+    place = F.row_number().over(Window.partitionBy("type", "difficulty").orderBy(*_pref()))
+    heads = ranked.where("__rn = 1").withColumn("__h", place).where(F.col("__h") <= q.total + 3)
+    same = [F.col(f"b.{c}").eqNullSafe(F.col(f"h.{c}")) for c in cell]
+    pool = best.alias("b").join(heads.alias("h"), same, "left_semi").drop("__rn")
+    return [r.asDict() for r in pool.orderBy(*_pref()).collect()]
 
 
 def _fits(rows: list[dict], q: Quotas) -> bool:

@@ -170,6 +170,24 @@ def test_selection(spark):
         assert {r["id"] for r in sl.select(pool(spark, order), QUOTAS).where("selected").collect()} == set(chosen)
 
 
+def test_selection_pool_loses_nothing(spark):
+    rng = random.Random(5)
+    for trial in range(6):
+        hot = [("a" if rng.random() < 0.7 else "b" if rng.random() < 0.7 else rng.choice(["c", "d", "e", "", None])) for _ in range(120)]
+        rows = [(i, rng.choice("xy"), m, rng.choice(["easy", "hard"]), rng.randrange(40) / 4 + 50 * (m in ("a", "b"))) for i, m in enumerate(hot)]
+        df = spark.createDataFrame(rows, "id long, type string, module string, difficulty string, weight double")
+        q = sl.Quotas(total=4, floors={"x": 1}, caps={"x": 3, "y": 3}, modules=2 + trial % 3, spread={"easy": trial % 5, "hard": 4 - trial % 5})
+        every = [r.asDict() for r in df.collect()]
+        chosen = [r.asDict() for r in sl.greedy(df, q).collect()]
+        pool = sl._pool(df, q)
+        assert len(pool) < len(every)
+
+        def repaired(rows, chosen=chosen, q=q):
+            return [r["id"] for r in sl.repair_spread(sl.repair_modules(chosen, rows, q), rows, q)]
+
+        assert repaired(pool) == repaired(every)
+
+
 @pytest.mark.parametrize("quotas", [sl.Quotas(10, {"history": 11}), sl.Quotas(18), sl.Quotas(10, modules=9)])
 def test_infeasible_quotas_raise(spark, quotas):
     with pytest.raises(sl.InfeasibleError):
