@@ -207,3 +207,13 @@ def test_text_gates(spark):
     names = lambda *x: F.array(*[F.lit(n) for n in x])
     assert row.select(tg.leaked_names(F.col("text"), names("helper_fn", "other", "ab"), names("other"), 3).alias("x")).first()["x"] == ["helper_fn"]
     assert row.select(tg.mask(F.col("text"), ["helper", "helper_fn"]).alias("x")).first()["x"] == "use [...] and other"
+
+
+def test_selection_pool_holds_a_rare_module(spark):
+    """Only module c helps: rows of a and without a module come first, and cost a module or break a floor."""
+    rows = [(0, "y", "a", "easy", 100.0), (1, "x", "b", "easy", 99.0), (2, "x", "a", "hard", 50.0), (3, "x", "a", "hard", 49.0), (4, "x", "", "hard", 48.0), (5, "x", "", "hard", 47.0)]
+    rows += [(10 + i, "x", f"d{i}", "easy", 40.0 - i) for i in range(12)] + [(30, "x", "c", "hard", 1.0)]
+    df = spark.createDataFrame(rows, "id long, type string, module string, difficulty string, weight double")
+    q = sl.Quotas(total=2, floors={"y": 1}, caps={"x": 1}, modules=2, spread={"easy": 1, "hard": 1})
+    chosen = sl.select(df.withColumn("eligible", F.lit(True)), q).where("selected")
+    assert sorted(r["id"] for r in chosen.collect()) == [0, 30]
