@@ -10,6 +10,7 @@ import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -133,3 +134,13 @@ def cut(df: DataFrame) -> DataFrame:
     del df
     spark._jvm.System.gc()
     return done
+
+
+def tree_sum(vectors: DataFrame, like: np.ndarray) -> np.ndarray:
+    """The sum of the vectors that the tasks of a one-column binary table yield, one each, in the shape and type of like.
+
+    Executors merge them as a tree, so that the driver gets a few vectors at any number of tasks.
+    """
+    kind = like.dtype
+    rows = vectors.rdd.map(lambda r: np.frombuffer(r[0], kind))
+    return rows.treeReduce(np.add).reshape(like.shape).copy() if rows.getNumPartitions() else np.zeros_like(like)

@@ -15,14 +15,14 @@ SF = "/root/testdata/sf0.001"
 
 def test_one_query_for_each_operator():
     names = __spark_entry__.queries()
-    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in queries.QUERIES) == list(range(1, 11))
+    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in queries.QUERIES) == list(range(1, 14))
     assert set(queries.QUERIES) < set(names) and "pipeline" in names and set(queries.ORACLE) < set(queries.QUERIES)
 
 
 @pytest.mark.parametrize("name", sorted(queries.ORACLE))
 def test_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "pages"):
+    for t in ("documents", "pages", "benchmark"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
     got = queries.QUERIES[name](spark, SF)
     found = con.execute(queries.ORACLE[name])
@@ -33,6 +33,6 @@ def test_sql(spark, name):
 
 @pytest.mark.parametrize("name", sorted(queries.QUERIES))
 def test_empty_tables(spark, name, tmp_path):
-    for t in ("documents", "pages", "embeddings", "labels"):
+    for t in ("documents", "pages", "embeddings", "labels", "benchmark"):
         spark.read.parquet(f"{SF}/{t}.parquet").limit(0).write.parquet(f"{tmp_path}/{t}.parquet")
     assert queries.QUERIES[name](spark, str(tmp_path)).count() == 0
