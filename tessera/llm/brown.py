@@ -28,6 +28,7 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -43,7 +44,7 @@ CLASSES, ROUNDS, SHARES, PRIOR = 64, 12, 4, 16.0
 #: Training takes the documents whose crc32 of the id modulo HOLD is not HELD.
 HOLD, HELD = 7, 2
 #: Bytes of a text taken apart at a time, and words or pairs that a task counts before it passes them on: they bound memory.
-PIECE_BYTES, COUNT_ROWS = 1 << 20, 400_000
+PIECE_BYTES, COUNT_ROWS, PAIRS_HELD = 1 << 20, 400_000, 2_000_000
 
 #: White space that parts words.
 BLANK, DIGIT = re.compile(rb"[\x20\x09-\x0d]"), re.compile(rb"[0-9]")
@@ -106,43 +107,48 @@ class Numbers:
 
     def __init__(self, words: list[bytes]):
         self.known = {w: END + 1 + i for i, w in enumerate(words)}
+        self.memo = dict(self.known)
 
-    def __call__(self, words: list[bytes]) -> tuple[np.ndarray, Counter]:
-        """Numbers of words, and how often each word occurs that is not frequent."""
-        get = self.known.get
-        at = np.fromiter((get(w, -1) for w in words), np.int64, len(words))
-        rare = np.flatnonzero(at < 0).tolist()
-        shapes: dict[bytes, int] = {}
-        others = Counter(words[i] for i in rare)
-        for w in others:
-            shapes[w] = shape(w)
-        if rare:
-            at[rare] = [shapes[words[i]] for i in rare]
-        return at, others
+    def __call__(self, words: list[bytes]) -> np.ndarray:
+        at = np.fromiter(map(self.memo.get, words, repeat(-1)), np.int64, len(words))
+        new = np.flatnonzero(at < 0).tolist()
+        if new:
+            if len(self.memo) > len(self.known) + COUNT_ROWS:
+                self.memo = dict(self.known)
+            memo = self.memo
+            for w in {words[i] for i in new}:
+                memo[w] = shape(w)
+            at[new] = [memo[words[i]] for i in new]
+        return at
+
+
+#: Pairs of tokens travel and rest in blocks of so many records.
+PAIR, PAIR_ROWS = np.dtype([("a", "<i4"), ("b", "<i4"), ("n", "<i8")]), 1_024
+
+
+def _added(keys: np.ndarray, counts: np.ndarray, new: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted keys and their counts, after one more for each of the new ones."""
+    found = np.sort(np.concatenate([keys[:0], *new]))
+    starts = np.flatnonzero(np.concatenate([[True], found[1:] != found[:-1]])) if len(found) else np.empty(0, np.int64)
+    keys = np.concatenate([keys, found[starts]])
+    counts = np.concatenate([counts, np.diff(np.concatenate([starts, [len(found)]]))])
+    order = np.argsort(keys, kind="stable")
+    keys, counts = keys[order], counts[order]
+    starts = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else starts
+    return keys[starts], np.add.reduceat(counts, starts) if len(starts) else counts
 
 
 def count_pairs(texts: DataFrame, numbers) -> DataFrame:
-    """a, b int, n long: how often token b follows token a in the texts of a one-column binary table; the end starts a text."""
+    """pairs binary: blocks of PAIR records that tell how often token b follows token a in the texts of a one-column
+    binary table; the end starts a text. A pair stands in one record."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = numbers.value
         waiting: list[np.ndarray] = []
         keys, counts, held = np.empty(0, np.int64), np.empty(0, np.int64), 0
 
-        def merge() -> None:
-            nonlocal keys, counts, held
-            found, n = np.unique(np.concatenate([np.empty(0, np.int64), *waiting]), return_counts=True)
-            both = np.concatenate([keys, found])
-            keys, back = np.unique(both, return_inverse=True)
-            counts = np.bincount(back, weights=np.concatenate([counts, n]), minlength=len(keys)).astype(np.int64)
-            waiting.clear()
-            held = 0
-
         def out() -> pa.RecordBatch:
-            nonlocal keys, counts
-            made = [pa.array((keys >> 32).astype(np.int32)), pa.array((keys & 0xFFFFFFFF).astype(np.int32)), pa.array(counts)]
-            keys, counts = keys[:0], counts[:0]
-            return pa.RecordBatch.from_arrays(made, names=["a", "b", "n"])
+            return pa.RecordBatch.from_arrays([pa.array(keys), pa.array(counts)], names=["pair", "n"])
 
         for batch in batches:
             for part in slices(batch):
@@ -150,18 +156,33 @@ def count_pairs(texts: DataFrame, numbers) -> DataFrame:
                     last = END
                     for words in words_of(t.as_py() or b""):
                         if words:
-                            at, _ = number(words)
+                            at = number(words)
                             waiting.append((np.concatenate([[last], at[:-1]]) << 32) | at)
                             held, last = held + len(at), int(at[-1])
                     waiting.append(np.array([last << 32 | END]))
-                if held > COUNT_ROWS:
-                    merge()
-                    if len(keys) > COUNT_ROWS:
+                if held > max(COUNT_ROWS, len(keys)):
+                    keys, counts = _added(keys, counts, waiting)
+                    waiting, held = [], 0
+                    if len(keys) > PAIRS_HELD:
                         yield out()
-        merge()
+                        keys, counts = keys[:0], counts[:0]
+        keys, counts = _added(keys, counts, waiting)
         yield out()
 
-    return texts.mapInArrow(run, "a int, b int, n long").groupBy("a", "b").agg(F.sum("n").alias("n"))
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            pair = batch.column(0).to_numpy()
+            made = np.empty(len(pair), PAIR)
+            made["a"], made["b"], made["n"] = pair >> 32, pair & 0xFFFFFFFF, batch.column(1).to_numpy()
+            yield pa.RecordBatch.from_arrays([pa.array([made[i : i + PAIR_ROWS].tobytes() for i in range(0, len(made), PAIR_ROWS)], pa.binary())], names=["pairs"])
+
+    return texts.mapInArrow(run, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n")).mapInArrow(pack, "pairs binary")
+
+
+def _records(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """a, b, n of the blocks of a batch."""
+    made = np.frombuffer(b"".join(batch.column(0).to_pylist()), PAIR)
+    return made["a"], made["b"], made["n"]
 
 
 def class_pairs(pairs: DataFrame, classes: np.ndarray, k: int) -> np.ndarray:
@@ -171,11 +192,11 @@ def class_pairs(pairs: DataFrame, classes: np.ndarray, k: int) -> np.ndarray:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         of, total = shared.value, np.zeros(k * k)
         for batch in batches:
-            a, b, n = (c.to_numpy() for c in batch.columns)
+            a, b, n = _records(batch)
             total += np.bincount(of[a] * k + of[b], weights=n, minlength=k * k)
         yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], names=["total"])
 
-    total = tree_sum(pairs.select("a", "b", "n").mapInArrow(run, "total binary"), np.zeros(k * k)).reshape(k, k)
+    total = tree_sum(pairs.mapInArrow(run, "total binary"), np.zeros(k * k)).reshape(k, k)
     shared.destroy()
     return total
 
@@ -224,17 +245,17 @@ def moves(pairs: DataFrame, classes: np.ndarray, m: np.ndarray, share: int, shar
 
     def sides(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         of, _ = shared.value
+        # left neighbours, right ones and itself of each word of this share: at most 1 / frequent / shares rows
+        total = np.zeros((-(-len(of) // shares), 2 * k + 1))
         for batch in batches:
-            a, b, n = (c.to_numpy() for c in batch.columns)
+            a, b, n = _records(batch)
             same = a == b
-            word = np.concatenate([b[~same], a[~same], a[same]]).astype(np.int64)
-            # left neighbours, right ones, the word itself
-            side = np.concatenate([of[a[~same]], k + of[b[~same]], np.full(same.sum(), 2 * k)])
-            count = np.concatenate([n[~same], n[~same], n[same]])
-            mine = (word > END) & (word % shares == share)
-            keys, back = np.unique(word[mine] * (2 * k + 1) + side[mine], return_inverse=True)
-            total = np.bincount(back, weights=count[mine], minlength=len(keys)).astype(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array((keys // (2 * k + 1)).astype(np.int32)), pa.array((keys % (2 * k + 1)).astype(np.int32)), pa.array(total)], names=["word", "side", "n"])
+            for word, side, use in ((b, of[a], ~same), (a, k + of[b], ~same), (a, np.full(len(a), 2 * k), same)):
+                use = use & (word > END) & (word % shares == share)
+                at = (word[use] // shares).astype(np.int64) * (2 * k + 1) + side[use]
+                np.add.at(total.reshape(-1), at, n[use])
+        word, side = np.nonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array((word * shares + share).astype(np.int32)), pa.array(side.astype(np.int32)), pa.array(total[word, side].astype(np.int64))], names=["word", "side", "n"])
 
     def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         of, m = shared.value
@@ -256,7 +277,7 @@ def moves(pairs: DataFrame, classes: np.ndarray, m: np.ndarray, share: int, shar
         judge()
         yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], pa.int32()) for i in (0, 1)], names=["word", "class"])
 
-    added = pairs.select("a", "b", "n").mapInArrow(sides, "word int, side int, n long").groupBy("word", "side").agg(F.sum("n").alias("n"))
+    added = pairs.mapInArrow(sides, "word int, side int, n long").groupBy("word", "side").agg(F.sum("n").alias("n"))
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
     found = added.repartition(tasks, "word").sortWithinPartitions("word", "side").mapInArrow(choose, "word int, class int").collect()
     shared.destroy()
@@ -305,47 +326,55 @@ class Model:
         self.open = open_sizes + self.unseen
 
 
+def score_text(text: bytes, number: Numbers, model: Model) -> tuple[tuple[int, int, float, float], Counter]:
+    """n_tokens, n_known, base and score of the transitions and frequent words, and the words whose counts are to be joined."""
+    of = model.classes
+    n, known, last = 1, int(model.end_known), END
+    base, score = float(model.base[END]), float(model.emits[END])
+    others: Counter = Counter()
+    for words in words_of(text):
+        if words:
+            at = number(words)
+            rare = at < SHAPES
+            others.update([words[i] for i in np.flatnonzero(rare).tolist()])
+            n, known = n + len(at), known + len(at) - int(rare.sum())
+            base += float(model.base[at].sum())
+            score += float(model.emits[at].sum() + model.follows[of[np.concatenate([[last], at[:-1]])], of[at]].sum())
+            last = int(at[-1])
+    return (n, known, base, score + float(model.follows[of[last], END])), others
+
+
 def score_texts(df: DataFrame, id_col: str, text_col: str, counts: DataFrame, numbers, model: Model, total: int, distinct: int) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, perplexity of every row."""
     shared = df.sparkSession.sparkContext.broadcast(model)
-    names = ["row", "doc_id", "word", "shape", "n", "n_known", "base", "score"]
     schema = "row long, doc_id long, word binary, shape int, n long, n_known long, base double, score double"
+    names = [f.strip().split()[0] for f in schema.split(",")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number, model = numbers.value, shared.value
-        of = model.classes
         for batch in batches:
             for part in slices(batch):
-                out: list[list] = [[] for _ in names]
-                for row, doc, t in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), part.column(2), strict=True):
-                    n, known, base, score, last = 0, 0, 0.0, 0.0, END
-                    others: Counter = Counter()
-                    pieces = words_of(t.as_py() or b"")
-                    for words in pieces:
-                        if words:
-                            at, rare = number(words)
-                            others.update(rare)
-                            n, known = n + len(at), known + int((at > END).sum())
-                            base += float(model.base[at].sum())
-                            score += float(model.emits[at].sum() + model.follows[of[np.concatenate([[last], at[:-1]])], of[at]].sum())
-                            last = int(at[-1])
-                    n, known = n + 1, known + model.end_known
-                    base += float(model.base[END])
-                    score += float(model.emits[END] + model.follows[of[last], END])
-                    # a row for the text; no word holds a blank, so it meets none
-                    made = [(b" %d" % row, END, n, known, base, score), *((w, shape(w), k, 0, 0.0, 0.0) for w, k in others.items())]
-                    out[0].extend([row] * len(made))
-                    out[1].extend([doc] * len(made))
-                    for column, values in zip(out[2:], zip(*made, strict=True), strict=True):
-                        column.extend(values)
-                    if len(out[0]) > COUNT_ROWS:
-                        yield _batch(out, names)
-                        out = [[] for _ in names]
-                yield _batch(out, names)
+                rows, whole, others = part.column(0), [], []
+                for t in part.column(2):
+                    values, rare = score_text(t.as_py() or b"", number, model)
+                    whole.append(values)
+                    others.append(rare)
+                # a row for each text: no word holds a blank, so its key meets none; and a row for each of its rare words
+                own = [pa.array([b" %d" % r for r in rows.to_pylist()], pa.binary()), pa.array(np.full(len(rows), END, np.int32))]
+                yield pa.RecordBatch.from_arrays([rows, part.column(1), *own, *map(pa.array, zip(*whole, strict=True))], names=names)
+                sizes = [len(c) for c in others]
+                n = sum(sizes)
+                if n:
+                    words = [w for c in others for w in c]
+                    counts = np.fromiter((v for c in others for v in c.values()), np.int64, n)
+                    by_row = pa.array(np.repeat(np.arange(len(rows)), sizes))
+                    made = [rows.take(by_row), pa.nulls(n, pa.int64()), pa.array(words, pa.binary()), pa.array(number(words).astype(np.int32)), pa.array(counts)]
+                    yield pa.RecordBatch.from_arrays([*made, pa.nulls(n, pa.int64()), pa.nulls(n, pa.float64()), pa.nulls(n, pa.float64())], names=names)
 
     text = F.col(f"`{text_col}`").cast("string").cast("binary")
     fed = df.select(F.monotonically_increasing_id().alias("row"), F.col(f"`{id_col}`").cast("long").alias("doc_id"), text.alias("text"))
-    rows = fed.mapInArrow(run, schema).join(counts.where("word <> X''").select("word", F.col("n").alias("c")), "word", "left")
+    known = counts.where("word <> X''").select("word", F.col("n").alias("c")).hint("shuffle_hash")  # a word is one row
+    rows = fed.mapInArrow(run, schema).join(known, "word", "left")
     pick = lambda values: F.element_at(F.array(*[F.lit(float(v)) for v in values]), F.col("shape") + 1)
     whole = F.col("shape") == END
     c = F.coalesce("c", F.lit(0))
@@ -361,11 +390,6 @@ def score_texts(df: DataFrame, id_col: str, text_col: str, counts: DataFrame, nu
     return summed.select("doc_id", held_out("doc_id").alias("held_out"), "n_tokens", "n_known", F.lit(total).cast("long").alias("train_tokens"), "base_score", "score", F.pow(F.lit(10.0), -F.col("score") / F.col("n_tokens")).alias("perplexity"))
 
 
-def _batch(columns: list[list], names: list[str]) -> pa.RecordBatch:
-    kinds = [pa.int64(), pa.int64(), pa.binary(), pa.int32(), pa.int64(), pa.int64(), pa.float64(), pa.float64()]
-    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names)
-
-
 def score_corpus(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", classes: int = CLASSES, rounds: int = ROUNDS, frequent: float = FREQUENT, prior: float = PRIOR) -> DataFrame:
     """Train on the rows that are not held out, and score all rows of df."""
     spark = df.sparkSession
