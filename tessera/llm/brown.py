@@ -18,7 +18,7 @@ frequent words with their numbers, at most 1 / FREQUENT of them, and the classes
 words of the scored texts join, document by document, at one row per word and document.
 
 Defined cases: null and empty texts are their end alone; a null id counts as the empty text, which is a training text; texts of any
-length are read whole, PIECE_BYTES at a time; repeated rows are trained on and scored each; ties of the
+length are read whole, at a few times their size in memory; repeated rows are trained on and scored each; ties of the
 exchange go to the lower class, of equally frequent words to the smaller one; without a training text every count is 0
 and the same formulas hold; an empty table gives an empty table; other columns take no part.
 """
@@ -26,16 +26,15 @@ and the same formulas hold; an empty table gives an empty table; other columns t
 from __future__ import annotations
 
 import re
-from collections import Counter
 from collections.abc import Iterator
-from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import bound_batches, cut_table, slices, table, tree_sum
+from tessera.llm.common import BATCH_ROWS, bound_batches, cut_table, slices, table, tree_sum
 
 #: Relative frequency from which a word is dealt over the classes; its reciprocal bounds their number.
 FREQUENT = 2.0**-18
@@ -43,24 +42,38 @@ FREQUENT = 2.0**-18
 CLASSES, ROUNDS, SHARES, PRIOR = 64, 12, 4, 16.0
 #: Training takes the documents whose crc32 of the id modulo HOLD is not HELD.
 HOLD, HELD = 7, 2
-#: Bytes of a text taken apart at a time, and words or pairs that a task counts before it passes them on: they bound memory.
-PIECE_BYTES, COUNT_ROWS, PAIRS_HELD = 1 << 20, 400_000, 2_000_000
+#: Words and pairs that a task counts before it passes them on: they bound memory, not results.
+COUNT_ROWS, PAIRS_HELD = 400_000, 2_000_000
 
-#: White space that parts words.
-BLANK, DIGIT = re.compile(rb"[\x20\x09-\x0d]"), re.compile(rb"[0-9]")
+DIGIT = re.compile(rb"[0-9]")
 #: Open classes: letters, with a digit, before a full stop, before another stop, other signs. Then comes the end's class.
 SHAPES = 5
 END = SHAPES
 
 
-def words_of(text: bytes) -> Iterator[list[bytes]]:
-    """The words of a text, those of about PIECE_BYTES at a time. bytes.lower() knows A to Z only, bytes.split() ASCII blanks."""
-    at = 0
-    while at < len(text):
-        gap = BLANK.search(text, at + PIECE_BYTES)
-        end = gap.start() if gap else len(text)
-        yield text[at:end].lower().split()
-        at = end
+class Tokens:
+    """The words of a slice of texts: its distinct words, and of each token, text after text, its text and its place among them.
+
+    Arrow knows A to Z and ASCII blanks only in these functions, as is wanted here.
+    """
+
+    def __init__(self, texts: pa.Array):
+        lists = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts, "")))
+        text, flat = pc.list_parent_indices(lists), lists.flatten()
+        there = pc.greater(pc.binary_length(flat), 0)  # blanks at either side of a text leave an empty word
+        coded = flat.filter(there).dictionary_encode()
+        self.texts, self.text = len(texts), text.filter(there).to_numpy()
+        self.code, self.words = coded.indices.to_numpy(), coded.dictionary
+
+    def numbered(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The texts' token numbers one after another, each text closed by END, and the text of each."""
+        n = np.bincount(self.text, minlength=self.texts)
+        ends = np.cumsum(n + 1) - 1
+        out, text = np.empty(len(self.code) + self.texts, np.int64), np.repeat(np.arange(self.texts), n + 1)
+        word = np.ones(len(out), bool)
+        word[ends] = False
+        out[ends], out[word] = END, numbers[self.code]
+        return out, text
 
 
 def shape(word: bytes) -> int:
@@ -79,47 +92,47 @@ def held_out(id_col: str) -> Column:
 
 
 def count_words(texts: DataFrame) -> DataFrame:
-    """word binary (empty: the end), shape int, n long of the texts of a one-column binary table."""
+    """word (empty: the end), shape int, n long of the texts of a one-column table."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: Counter = Counter()
+        waiting: list[pa.Table] = []
+        ends, held, kept = 0, 0, 0
 
-        def out() -> pa.RecordBatch:
-            made = [pa.array(list(counts), pa.binary()), pa.array([shape(w) if w else END for w in counts], pa.int32()), pa.array(list(counts.values()), pa.int64())]
-            counts.clear()
-            return pa.RecordBatch.from_arrays(made, names=["word", "shape", "n"])
+        def merged() -> pa.Table:
+            made = pa.concat_tables(waiting).group_by("word").aggregate([("n", "sum")])
+            return pa.table({"word": made.column("word"), "n": made.column("n_sum")})
 
-        for batch in batches:
-            for part in slices(batch):
-                for t in part.column(0):
-                    for words in words_of(t.as_py() or b""):
-                        counts.update(words)
-                    counts[b""] += 1
-                if len(counts) > COUNT_ROWS:
-                    yield out()
-        yield out()
+        def out(made: pa.Table) -> Iterator[pa.RecordBatch]:
+            for part in made.combine_chunks().to_batches(max_chunksize=COUNT_ROWS):
+                shapes = [shape(w) if w else END for w in part.column(0).cast(pa.binary()).to_pylist()]
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(shapes, pa.int32()), part.column(1)], names=["word", "shape", "n"])
 
-    return texts.mapInArrow(run, "word binary, shape int, n long").groupBy("word", "shape").agg(F.sum("n").alias("n"))
+        for batch in batches:
+            for part in slices(batch, BATCH_ROWS):
+                t = Tokens(part.column(0))
+                waiting.append(pa.table({"word": t.words, "n": np.bincount(t.code, minlength=len(t.words))}))
+                ends, held = ends + t.texts, held + len(t.words)
+                if held > max(COUNT_ROWS, 2 * kept):
+                    waiting = [merged()]
+                    held = kept = len(waiting[0])
+                    if kept > 2 * COUNT_ROWS:
+                        yield from out(waiting[0])
+                        waiting, held, kept = [], 0, 0
+        waiting.append(pa.table({"word": pa.array([""] if ends else [], pa.string()), "n": pa.array([ends] if ends else [], pa.int64())}))
+        yield from out(merged())
+
+    return texts.mapInArrow(run, "word string, shape int, n long").groupBy("word", "shape").agg(F.sum("n").alias("n"))
 
 
 class Numbers:
-    """Numbers of tokens: 0 to SHAPES - 1 any other word by shape, END the end, then the frequent words."""
+    """Numbers of words: 0 to SHAPES - 1 any other word by shape, END the end, then the frequent words."""
 
-    def __init__(self, words: list[bytes]):
-        self.known = {w: END + 1 + i for i, w in enumerate(words)}
-        self.memo = dict(self.known)
+    def __init__(self, words: list[str]):
+        self.known = {w.encode(): END + 1 + i for i, w in enumerate(words)}
 
-    def __call__(self, words: list[bytes]) -> np.ndarray:
-        at = np.fromiter(map(self.memo.get, words, repeat(-1)), np.int64, len(words))
-        new = np.flatnonzero(at < 0).tolist()
-        if new:
-            if len(self.memo) > len(self.known) + COUNT_ROWS:
-                self.memo = dict(self.known)
-            memo = self.memo
-            for w in {words[i] for i in new}:
-                memo[w] = shape(w)
-            at[new] = [memo[words[i]] for i in new]
-        return at
+    def __call__(self, words: pa.Array) -> np.ndarray:
+        get = self.known.get
+        return np.array([shape(w) if (at := get(w)) is None else at for w in words.cast(pa.binary()).to_pylist()], np.int64)
 
 
 #: Pairs of tokens travel and rest in blocks of so many records.
@@ -140,7 +153,7 @@ def _added(keys: np.ndarray, counts: np.ndarray, new: list[np.ndarray]) -> tuple
 
 def count_pairs(texts: DataFrame, numbers) -> DataFrame:
     """pairs binary: blocks of PAIR records that tell how often token b follows token a in the texts of a one-column
-    binary table; the end starts a text. A pair stands in one record."""
+    table; the end starts a text. A pair stands in one record."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = numbers.value
@@ -151,15 +164,11 @@ def count_pairs(texts: DataFrame, numbers) -> DataFrame:
             return pa.RecordBatch.from_arrays([pa.array(keys), pa.array(counts)], names=["pair", "n"])
 
         for batch in batches:
-            for part in slices(batch):
-                for t in part.column(0):
-                    last = END
-                    for words in words_of(t.as_py() or b""):
-                        if words:
-                            at = number(words)
-                            waiting.append((np.concatenate([[last], at[:-1]]) << 32) | at)
-                            held, last = held + len(at), int(at[-1])
-                    waiting.append(np.array([last << 32 | END]))
+            for part in slices(batch, BATCH_ROWS):
+                t = Tokens(part.column(0))
+                at, _ = t.numbered(number(t.words))
+                waiting.append((np.concatenate([[END], at[:-1]]) << 32) | at)
+                held += len(at)
                 if held > max(COUNT_ROWS, len(keys)):
                     keys, counts = _added(keys, counts, waiting)
                     waiting, held = [], 0
@@ -326,54 +335,37 @@ class Model:
         self.open = open_sizes + self.unseen
 
 
-def score_text(text: bytes, number: Numbers, model: Model) -> tuple[tuple[int, int, float, float], Counter]:
-    """n_tokens, n_known, base and score of the transitions and frequent words, and the words whose counts are to be joined."""
-    of = model.classes
-    n, known, last = 1, int(model.end_known), END
-    base, score = float(model.base[END]), float(model.emits[END])
-    others: Counter = Counter()
-    for words in words_of(text):
-        if words:
-            at = number(words)
-            rare = at < SHAPES
-            others.update([words[i] for i in np.flatnonzero(rare).tolist()])
-            n, known = n + len(at), known + len(at) - int(rare.sum())
-            base += float(model.base[at].sum())
-            score += float(model.emits[at].sum() + model.follows[of[np.concatenate([[last], at[:-1]])], of[at]].sum())
-            last = int(at[-1])
-    return (n, known, base, score + float(model.follows[of[last], END])), others
-
-
 def score_texts(df: DataFrame, id_col: str, text_col: str, counts: DataFrame, numbers, model: Model, total: int, distinct: int) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, perplexity of every row."""
     shared = df.sparkSession.sparkContext.broadcast(model)
-    schema = "row long, doc_id long, word binary, shape int, n long, n_known long, base double, score double"
+    schema = "row long, doc_id long, word string, shape int, n long, n_known long, base double, score double"
     names = [f.strip().split()[0] for f in schema.split(",")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number, model = numbers.value, shared.value
         for batch in batches:
-            for part in slices(batch):
-                rows, whole, others = part.column(0), [], []
-                for t in part.column(2):
-                    values, rare = score_text(t.as_py() or b"", number, model)
-                    whole.append(values)
-                    others.append(rare)
+            for part in slices(batch, BATCH_ROWS):
+                t, rows = Tokens(part.column(2)), part.column(0)
+                of_word = number(t.words)
+                at, text = t.numbered(of_word)
+                step = model.emits[at] + model.follows[model.classes[np.concatenate([[END], at[:-1]])], model.classes[at]]
+                known = (at > END) | ((at == END) & model.end_known)
+                add = lambda values: np.bincount(text, weights=values, minlength=t.texts)  # noqa: B023, E731
                 # a row for each text: no word holds a blank, so its key meets none; and a row for each of its rare words
-                own = [pa.array([b" %d" % r for r in rows.to_pylist()], pa.binary()), pa.array(np.full(len(rows), END, np.int32))]
-                yield pa.RecordBatch.from_arrays([rows, part.column(1), *own, *map(pa.array, zip(*whole, strict=True))], names=names)
-                sizes = [len(c) for c in others]
-                n = sum(sizes)
+                own = [pa.array([f" {r}" for r in rows.to_pylist()], pa.string()), pa.array(np.full(t.texts, END, np.int32))]
+                values = [np.bincount(text, minlength=t.texts), add(known).astype(np.int64), add(model.base[at]), add(step)]
+                yield pa.RecordBatch.from_arrays([rows, part.column(1), *own, *map(pa.array, values)], names=names)
+                rare = of_word[t.code] < SHAPES
+                keys, counts = np.unique(t.text[rare] * len(t.words) + t.code[rare], return_counts=True)
+                n = len(keys)
                 if n:
-                    words = [w for c in others for w in c]
-                    counts = np.fromiter((v for c in others for v in c.values()), np.int64, n)
-                    by_row = pa.array(np.repeat(np.arange(len(rows)), sizes))
-                    made = [rows.take(by_row), pa.nulls(n, pa.int64()), pa.array(words, pa.binary()), pa.array(number(words).astype(np.int32)), pa.array(counts)]
+                    by_row, word = keys // len(t.words), keys % len(t.words)
+                    made = [rows.take(pa.array(by_row)), pa.nulls(n, pa.int64()), t.words.take(pa.array(word)), pa.array(of_word[word].astype(np.int32)), pa.array(counts)]
                     yield pa.RecordBatch.from_arrays([*made, pa.nulls(n, pa.int64()), pa.nulls(n, pa.float64()), pa.nulls(n, pa.float64())], names=names)
 
-    text = F.col(f"`{text_col}`").cast("string").cast("binary")
+    text = F.col(f"`{text_col}`").cast("string")
     fed = df.select(F.monotonically_increasing_id().alias("row"), F.col(f"`{id_col}`").cast("long").alias("doc_id"), text.alias("text"))
-    known = counts.where("word <> X''").select("word", F.col("n").alias("c")).hint("shuffle_hash")  # a word is one row
+    known = counts.where("word <> ''").select("word", F.col("n").alias("c")).hint("shuffle_hash")  # a word is one row
     rows = fed.mapInArrow(run, schema).join(known, "word", "left")
     pick = lambda values: F.element_at(F.array(*[F.lit(float(v)) for v in values]), F.col("shape") + 1)
     whole = F.col("shape") == END
@@ -394,7 +386,7 @@ def score_corpus(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """Train on the rows that are not held out, and score all rows of df."""
     spark = df.sparkSession
     bound_batches(spark)
-    texts = df.where(~held_out(f"`{id_col}`")).select(F.col(f"`{text_col}`").cast("string").cast("binary").alias("text"))
+    texts = df.where(~held_out(f"`{id_col}`")).select(F.col(f"`{text_col}`").cast("string").alias("text"))
     counts = cut_table(count_words(texts))
     seen = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("total"), F.count("*").alias("distinct"), F.coalesce(F.sum(F.when(F.col("shape") == END, F.col("n"))), F.lit(0)).alias("ends")).first()
     common = (F.col("shape") != END) & (F.col("n") >= F.lit(seen.total * frequent))

@@ -27,11 +27,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-    """Cut a batch into slices of at most SLICE_ROWS rows and about SLICE_BYTES bytes."""
+def slices(batch: pa.RecordBatch, rows: int = SLICE_ROWS) -> Iterator[pa.RecordBatch]:
+    """Cut a batch into slices of at most `rows` rows and about SLICE_BYTES bytes."""
     at, n = 0, batch.num_rows
     per_row = max(1, batch.nbytes // max(1, n))
-    step = max(1, min(SLICE_ROWS, SLICE_BYTES // per_row))
+    step = max(1, min(rows, SLICE_BYTES // per_row))
     while at < n:
         yield batch.slice(at, step)
         at += step

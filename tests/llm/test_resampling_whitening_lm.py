@@ -9,6 +9,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tessera.llm import brown, resampling, whitening
@@ -259,11 +260,12 @@ def test_result_does_not_depend_on_partitions(spark):
     assert one == many
 
 
-def test_pieces_of_a_text_do_not_change_it(monkeypatch):
-    text = ("Alpha beta\tgamma. " * 20 + "z" * 300 + " end").encode()
-    whole = [w for part in brown.words_of(text) for w in part]
-    monkeypatch.setattr(brown, "PIECE_BYTES", 16)
-    assert [w for part in brown.words_of(text) for w in part] == whole == tokens(text.decode())[:-1]
+def test_tokens_are_those_of_the_pattern():
+    texts = ["  Alpha\tBETA\x0bÉa\x1fb \u00a0 c\n", None, "", "   ", "the The THE x", *(f"a{chr(i)}b" for i in range(1, 200))]
+    made = brown.Tokens(pa.array(texts))
+    at, text = made.numbered(brown.END + 1 + np.arange(len(made.words)))
+    words = [*[b""] * (brown.END + 1), *(w.encode() for w in made.words.to_pylist())]
+    assert [[words[k] for k, j in zip(at, text, strict=True) if j == i] for i in range(len(texts))] == [tokens(t) for t in texts]
 
 
 def test_without_training_texts(spark):
