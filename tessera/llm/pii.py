@@ -45,10 +45,12 @@ FORMATS = {
     "ipv4": r"(?<![\w.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![\w])(?!\.[0-9])",
     "ssn": r"(?<![\w-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![\w-])",
     "phone": r"(?<![\w(+.-])(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}(?![\w-])(?!\.[0-9])",
-    "card": r"(?<![\w])(?=[0-9](?:[ -]?[0-9]){12})[0-9]++(?!\w)(?:[ -][0-9]++(?!\w))*+",
+    "card": r"(?<![\w])(?=[0-9](?:[ -]?[0-9]){12})[0-9]++(?!\w)(?:[ -][0-9]++(?!\w|\.[0-9]))*+",
 }
 #: Layouts of card numbers in a run of digits, found at every group; and what else a run may hold.
 CARD_LAYOUTS = r"(?<![0-9])(?=((?:[0-9]{4}([ -])[0-9]{4}\2[0-9]{4}\2[0-9]{4}|[0-9]{4}([ -])[0-9]{6}\3[0-9]{4,5}|[0-9]{13,19})(?![0-9])))"
+#: Characters for private use, which no run of digits holds.
+OPEN, CLOSE, HYPHEN, MARKS = "\ue000", "\ue001", "\ue002", "\ue010\ue011\ue012\ue013\ue014\ue015\ue016\ue017\ue018\ue019"
 IN_RUN = "|".join(FORMATS[k] for k in ("date", "ssn", "phone"))
 #: No candidate lacks both of these.
 HINT = "[0-9@]"
@@ -165,12 +167,20 @@ def _card(m: Column, key: str, inverse: bool) -> Column:
 
 
 def _run(m: Column, key: str, inverse: bool) -> Column:
-    """A run of groups of digits with the numbers in it replaced."""
+    """A run of groups of digits with the numbers in it replaced: card numbers first, then what else stands beside them."""
     cards = F.transform(F.regexp_extract_all(m, F.lit(CARD_LAYOUTS), 1), lambda v: F.struct(v.alias("v"), _card(v, key, inverse).alias("p")))
-    # layouts may overlap: the first one wins, as the text of the next is gone then
-    replaced = F.aggregate(cards, m, lambda text, c: F.replace(text, c["v"], c["p"]))
-    others = _replace(m, IN_RUN, lambda v: pseudonym(v, key, inverse, runs=False))
-    return F.aggregate(F.array(F.struct(replaced.alias("c"), others.alias("o"))), F.lit(""), lambda _, x: F.when(x["c"] != m, x["c"]).when(x["o"] != m, x["o"]).otherwise(_card(m, key, inverse)))
+
+    def rest(valid: Column) -> Column:
+        """A mark of its own stands for each card meanwhile, with the hyphens at its sides; a run itself holds no marks."""
+        marked = F.transform(valid, lambda c, i: F.struct(c["v"].alias("v"), c["p"].alias("p"), F.concat(F.lit(OPEN), F.translate(i.cast("string"), DIGITS, MARKS), F.lit(CLOSE)).alias("mark")))
+        # layouts may overlap: the first one wins, as the text of the next is gone then
+        text = F.aggregate(marked, m, lambda text, c: F.replace(text, c["v"], c["mark"]))
+        text = F.replace(F.replace(text, F.lit(CLOSE + "-"), F.lit(CLOSE + HYPHEN)), F.lit("-" + OPEN), F.lit(HYPHEN + OPEN))
+        text = F.replace(_replace(text, IN_RUN, lambda v: pseudonym(v, key, inverse, runs=False)), F.lit(HYPHEN), F.lit("-"))
+        return F.aggregate(marked, text, lambda text, c: F.replace(text, c["mark"], c["p"]))
+
+    done = rest(F.filter(cards, lambda c: c["v"] != c["p"]))
+    return F.aggregate(F.array(done), F.lit(""), lambda _, x: F.when(x != m, x).otherwise(_card(m, key, inverse)))
 
 
 def _iban(m: Column, key: str, inverse: bool) -> Column:

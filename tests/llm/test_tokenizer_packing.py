@@ -109,6 +109,22 @@ def test_packing_query_wastes_little(spark):
     assert n <= total / 2048 * 1.003 + 1
 
 
+def test_long_runs_of_blanks(spark):
+    """tiktoken refuses these texts; tokenizers does not."""
+    docs = [(i, c * 2_000_000) for i, c in enumerate(" \n\t")] + [(9, "a" + " " * 1_200_000 + "<|endoftext|>b")]
+    rows = packing.pack_documents(spark.createDataFrame(docs, "doc_id long, text string"), JSON, P.PATTERN).collect()
+    check_packing(rows, docs, 2048)
+
+
+def test_shards_follow_the_pieces(spark, monkeypatch):
+    """Few long documents are many pieces: a shard gets a bounded number of them."""
+    monkeypatch.setattr(packing, "SHARD_PIECES", 16)
+    df = spark.createDataFrame([(i, "a b c " * 4_000) for i in range(20)], "doc_id long, text string")
+    rows = packing.pack_documents(df, JSON, P.PATTERN, 256).collect()
+    sizes = np.bincount([r["sequence_id"] >> 40 for r in rows])
+    assert len(rows) > 900 and len(sizes) > 20 and sizes.max() <= 16 * packing.TOKEN_BYTES * 2
+
+
 @given(st.lists(st.integers(1, 20), max_size=80))
 @settings(max_examples=200, deadline=None)
 def test_sum_of_squares_takes_the_least_change(lengths):
