@@ -72,10 +72,15 @@ def functions(tree: ast.Module, module: str) -> Iterator[dict]:
         yield {
             "qualname": qualname, "name": x.name, "parent": parent, "line": x.lineno, "end_line": x.end_lineno,
             "signature": signature(x), "docstring": ast.get_docstring(x), "decorators": [ast.unparse(d) for d in x.decorator_list],
-            "complexity": complexity(x), "calls": calls, "raises": raised,
+            "complexity": complexity(x), "calls": calls, "raises": raised, "indexed": _indexed(module, parent),
         }
 
 
+def _indexed(module: str, parent: str | None) -> bool:
+    """Whether a function is part of an index of names: one of the module, or a method of one of its classes."""
+    return parent is None or "." not in (parent[len(module) + 1 :] if module else parent)
+
+
 def _dotted(node: ast.AST) -> str | None:
     """a.b.c of a chain of names; null for anything else."""
     names = []
@@ -86,36 +91,35 @@ def _dotted(node: ast.AST) -> str | None:
 
 
 def calls(tree: ast.Module, module: str) -> Iterator[dict]:
-    """Calls that functions make themselves: the callee's text, and its dotted name where it is one."""
+    """Calls that indexed functions make themselves: the callee's text, and its dotted name where it is one."""
     for qualname, parent, x in _spans(tree, module):
         for c in own(x):
-            if isinstance(c, ast.Call):
+            if isinstance(c, ast.Call) and _indexed(module, parent):
                 yield {"caller": qualname, "enclosing": parent, "text": ast.unparse(c.func), "dotted": _dotted(c.func), "line": c.lineno}
 
 
 def imports(tree: ast.Module) -> Iterator[dict]:
+    """All imports; those of the module's body itself, the only ones that bind names of the module, are marked `top`."""
+    body = set(map(id, tree.body))
     for x in ast.walk(tree):
+        at = {"line": getattr(x, "lineno", 0), "top": id(x) in body}
         if isinstance(x, ast.Import):
             for a in x.names:
-                yield {"kind": "import", "module": a.name, "name": None, "asname": a.asname, "level": 0, "line": x.lineno}
+                yield {"kind": "import", "module": a.name, "name": None, "asname": a.asname, "level": 0, **at}
         elif isinstance(x, ast.ImportFrom):
             for a in x.names:
-                yield {"kind": "from", "module": x.module or "", "name": a.name, "asname": a.asname, "level": x.level, "line": x.lineno}
+                yield {"kind": "from", "module": x.module or "", "name": a.name, "asname": a.asname, "level": x.level, **at}
 
 
 def classes(tree: ast.Module, module: str) -> Iterator[dict]:
-    def walk(body: list, prefix: str) -> Iterator[dict]:
-        for x in body:
-            if isinstance(x, ast.ClassDef):
-                name = f"{prefix}.{x.name}" if prefix else x.name
-                yield {"qualname": name, "name": x.name, "line": x.lineno, "end_line": x.end_lineno, "docstring": ast.get_docstring(x), "bases": [ast.unparse(b) for b in x.bases]}
-                yield from walk(x.body, name)
-
-    return walk(tree.body, module)
+    """Classes of the module's body; those inside classes or functions are no part of an index of names."""
+    for x in tree.body:
+        if isinstance(x, ast.ClassDef):
+            yield {"qualname": f"{module}.{x.name}" if module else x.name, "name": x.name, "line": x.lineno, "end_line": x.end_lineno, "docstring": ast.get_docstring(x), "bases": [ast.unparse(b) for b in x.bases]}
 
 
-_FUNCTION = "qualname string, name string, parent string, line int, end_line int, signature string, docstring string, decorators array<string>, complexity int, calls array<string>, raises array<string>"
-_IMPORT = "kind string, module string, name string, asname string, level int, line int"
+_FUNCTION = "qualname string, name string, parent string, line int, end_line int, signature string, docstring string, decorators array<string>, complexity int, calls array<string>, raises array<string>, indexed boolean"
+_IMPORT = "kind string, module string, name string, asname string, level int, line int, top boolean"
 _CALL = "caller string, enclosing string, text string, dotted string, line int"
 _CLASS = "qualname string, name string, line int, end_line int, docstring string, bases array<string>"
 

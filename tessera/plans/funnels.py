@@ -1,19 +1,19 @@
 """The funnels that pick tasks from a repository: commits, functions, test targets, builds, and test verdicts.
 
 Each is one ordered chain of reject rules over a table; every row stays, with its reason and status. Reason
-texts, thresholds and weights are fixed values of the domain. A repository is the unit of parallel work:
-ancestry is followed inside one repository, everything else is joins and expressions.
+texts, thresholds and weights are fixed values of the domain. Everything is joins and expressions; ancestry is walked
+for all repositories at once (operators.ancestry).
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions import paths as pt
+from tessera.operators import ancestry as an
 from tessera.operators import joins as jn
 from tessera.operators import sequences
 from tessera.operators.rules import Rule, additive_score, first_reason, funnel
@@ -121,34 +121,17 @@ def classify_commits(commits: DataFrame, decisions: DataFrame, limits: CommitLim
     return d.withColumn("reason", text).withColumn("status", F.when(F.col("reason").isNull(), "kept").otherwise("rejected")).drop("__there")
 
 
-def superseded(commits: DataFrame, by: str = "repo") -> DataFrame:
+def superseded(commits: DataFrame, by: str = "repo", level: Column | None = None) -> DataFrame:
     """by, sha, merge: commits that a kept merge brings in (reachable from its second parent, not from its first).
 
-    commits has by, ord, sha, parents, is_merge, status; of several merges the last in order counts.
+    commits has by, ord, sha, parents, is_merge, status; of several merges the last in order counts. `level` is higher in
+    a commit than in its parents; where none is given, a parent comes later in order.
     """
-
-    def find(rows: pd.DataFrame) -> pd.DataFrame:
-        parents = {r.sha: list(r.parents) for r in rows.itertuples()}
-
-        def reach(start: str, stop: set[str]) -> set[str]:
-            seen, todo = set(), [start]
-            while todo:
-                x = todo.pop()
-                if x in parents and x not in seen and x not in stop:
-                    seen.add(x)
-                    todo += parents[x]
-            return seen
-
-        out = {}
-        for r in rows.sort_values("ord").itertuples():
-            if r.status == "kept" and r.is_merge and len(r.parents) > 1:
-                for sha in reach(r.parents[1], reach(r.parents[0], set())):
-                    out[sha] = r.sha
-        whose = pd.Series([rows[by].iloc[0]] * len(out), dtype=rows[by].dtype)
-        return pd.DataFrame({by: whose, "sha": pd.Series(list(out), dtype=object), "merge": pd.Series(list(out.values()), dtype=object)})
-
-    kind = commits.schema[by].dataType.simpleString()
-    return commits.select(by, "ord", "sha", "parents", "is_merge", "status").groupBy(by).applyInPandas(find, f"{by} {kind}, sha string, merge string")
+    merges = commits.where((F.col("status") == "kept") & F.col("is_merge") & (F.size("parents") > 1))
+    wanted = merges.select(by, F.col("sha").alias("range"), F.col("parents")[0].alias("a"), F.col("parents")[1].alias("b"))
+    found = an.ranges(commits.withColumn("level", -F.col("ord") if level is None else level), wanted, by)
+    merge = merges.select(by, F.col("sha").alias("range"), F.col("ord").alias("__ord"))
+    return found.join(merge, [by, "range"]).groupBy(by, "sha").agg(F.max_by("range", "__ord").alias("merge"))
 
 
 def supersede(commits: DataFrame, by: str = "repo") -> DataFrame:

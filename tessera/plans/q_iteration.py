@@ -10,6 +10,7 @@ from tessera.operators import aggregates as ag
 from tessera.operators import selection as sl
 from tessera.operators import sequences as sq
 from tessera.plans import ledger as lg
+from tessera.plans import steps as st
 from tessera.plans.registry import query, table
 
 
@@ -108,3 +109,60 @@ def reuse(spark, d):
 @query("iter_15_projection_hash", "ITER-15 ITER-26 SRC-42 SRC-43", "SELECT doc_id, sha256(concat(length(lang), ':', lang, length(source), ':', source)) AS key FROM documents")
 def projection_hash(spark, d):
     return table(spark, d, "documents").select("doc_id", hs.content_key(F.col("lang"), F.col("source")).alias("key"))
+
+
+#: Steps of documents, their sources, their languages, families of sources, and one report; every 97th document is changed.
+_SQL_STEPS = """WITH RECURSIVE d AS (SELECT doc_id, md5(text) AS old, md5(CASE WHEN doc_id % 97 = 0 THEN text || '!' ELSE text END) AS new, source, lang FROM documents),
+ e AS (SELECT 'source:' || source AS step, 'doc:' || doc_id AS input, 'text' AS role FROM d UNION SELECT 'lang:' || lang, 'doc:' || doc_id, 'text' FROM d WHERE doc_id % 2 = 0
+ UNION SELECT 'family:' || right(source, 1), 'source:' || source, 'member' FROM d UNION SELECT 'report', 'family:' || right(source, 1), 'source' FROM d UNION SELECT 'report', 'lang:' || lang, 'lang' FROM d WHERE doc_id % 2 = 0),
+ h0 AS (SELECT 'doc:' || doc_id AS step, sha256(old || '|0|0|0') AS old, sha256(new || '|0|0|0') AS new FROM d),
+"""
+
+
+def _sql_level(name: str, below: str, like: str) -> str:
+    part = lambda c, a: f"sum(('0x' || substr(sha256(length(role) || ':' || role || ':' || {c}), {a}, 15))::BIGINT::HUGEINT)"
+    make = lambda c: f"sha256('' || '|' || count(*) || '|' || {part(c, 1)} || '|' || {part(c, 16)}) AS {c}"
+    return f"{name} AS (SELECT e.step, {make('old')}, {make('new')} FROM e JOIN {below} b ON b.step = e.input WHERE {like} GROUP BY 1)"
+
+
+_SQL_STEPS += ",\n ".join([
+    _sql_level("h1", "h0", "(e.step LIKE 'source:%' OR e.step LIKE 'lang:%')"),
+    _sql_level("h2", "h1", "e.step LIKE 'family:%'"),
+    _sql_level("h3", "(FROM h1 UNION ALL FROM h2)", "e.step = 'report'"),
+    "h AS (FROM h0 UNION ALL FROM h1 UNION ALL FROM h2 UNION ALL FROM h3)",
+    "behind AS (SELECT 'doc:' || doc_id AS step FROM d WHERE old <> new UNION SELECT e.step FROM e JOIN behind ON behind.step = e.input)",
+])
+
+
+def _step_graph(spark, d, changed: bool) -> tuple[DataFrame, DataFrame]:
+    docs = table(spark, d, "documents").select("doc_id", "source", "lang", "text")
+    text = F.when((F.col("doc_id") % 97 == 0) & F.lit(changed), F.concat("text", F.lit("!"))).otherwise(F.col("text"))
+    doc, source, lang, family = (F.concat(F.lit(f"{k}:"), v.cast("string")) for k, v in (("doc", F.col("doc_id")), ("source", F.col("source")), ("lang", F.col("lang")), ("family", F.right("source", F.lit(1)))))
+    edge = lambda rows, step, on, role: rows.select(step.alias("step"), on.alias("input"), F.lit(role).alias("role")).distinct()
+    even = docs.where("doc_id % 2 = 0")
+    inputs = edge(docs, source, doc, "text").union(edge(even, lang, doc, "text")).union(edge(docs, family, source, "member"))
+    inputs = inputs.union(edge(docs, F.lit("report"), family, "source")).union(edge(even, F.lit("report"), lang, "lang"))
+    steps = docs.select(doc.alias("step"), F.md5(text.cast("binary")).alias("own")).union(inputs.select("step", F.lit("").alias("own")).distinct())
+    return steps, inputs
+
+
+@query("iter_23_step_hashes", "ITER-23 ITER-24 ITER-22 SCL-28", f"{_SQL_STEPS} SELECT step, new AS input_hash, (CASE WHEN step LIKE 'doc:%' THEN 0 WHEN step = 'report' THEN 3 WHEN step LIKE 'family:%' THEN 2 ELSE 1 END)::INTEGER AS level FROM h")
+def step_hashes(spark, d):
+    """The hash of every step: a document's from its text, all others' from the hashes of what they are made from."""
+    return st.hashes(*_step_graph(spark, d, True)).select("step", "input_hash", "level")
+
+
+@query("iter_24_behind_a_change", "ITER-23 ITER-24 ITER-13 ITER-14 ITER-26 ITER-10", f"{_SQL_STEPS} SELECT h.step, behind.step IS NOT NULL AS runs FROM h LEFT JOIN behind USING (step)")
+def behind_a_change(spark, d):
+    """Of a graph done before some documents changed, what must run: the changed and exactly what is made from them."""
+    before = st.hashes(*_step_graph(spark, d, False))
+    done = lg.mark(spark.createDataFrame([], lg.SCHEMA), before, "done", 1)
+    return st.plan_run(*_step_graph(spark, d, True), done).select("step", "runs")
+
+
+@query("iter_13_prior_decisions", "ITER-13 ITER-14 ITER-26 ITER-10", f"{_SQL_STEPS} SELECT doc_id, source FROM d WHERE 'source:' || source NOT IN (SELECT step FROM behind)")
+def prior_decisions(spark, d):
+    """Decisions on documents, taken by source: those of sources whose input is as it was."""
+    before = st.hashes(*_step_graph(spark, d, False))
+    docs = table(spark, d, "documents").select("doc_id", "source", F.concat(F.lit("source:"), "source").alias("step"))
+    return st.reusable(docs.join(before, "step"), st.hashes(*_step_graph(spark, d, True))).select("doc_id", "source")

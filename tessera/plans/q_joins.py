@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.operators import aggregates as ag
+from tessera.operators import ancestry as an
 from tessera.operators import graph as gr
 from tessera.operators import joins as jn
 from tessera.operators import ranges as rg
 from tessera.operators import sequences as sq
+from tessera.plans import funnels as fn
 from tessera.plans.registry import query, table
 
 #: Hours that a purchase's interval lasts, and seconds of a bucket of the interval join.
@@ -81,12 +83,48 @@ def location_default(spark, d):
     return ag.histogram(both, "status")
 
 
-@query("join_10_first_later", "JOIN-10 JOIN-11 JOIN-12", "SELECT a.o_orderkey, arg_min(b.o_orderkey, (epoch_us(b.o_orderdate), b.o_orderkey)) AS later FROM orders a JOIN orders b ON a.o_custkey = b.o_custkey AND floor(a.o_totalprice / 50000) = floor(b.o_totalprice / 50000) AND b.o_orderdate > a.o_orderdate GROUP BY 1")
+@query("join_10_first_later", "JOIN-10 JOIN-11", "SELECT a.o_orderkey, arg_min(b.o_orderkey, (epoch_us(b.o_orderdate), b.o_orderkey)) AS later FROM orders a JOIN orders b ON a.o_custkey = b.o_custkey AND floor(a.o_totalprice / 50000) = floor(b.o_totalprice / 50000) AND b.o_orderdate > a.o_orderdate GROUP BY 1")
 def first_later(spark, d):
     o = table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderdate", F.floor(F.col("o_totalprice") / 50000).alias("band"))
     return jn.first_later(o, ["o_custkey", "band"], "o_orderkey", "o_orderdate")
 
 
+#: A history for each nation and market segment, from its orders by date: blocks of seven commits, of which three go on, four stand on a
+#: branch that takes the main line in and is merged by the next block; some commits name an old branch as a parent too.
+_SQL_HISTORY = """WITH RECURSIVE o AS (SELECT c_nationkey || c_mktsegment AS repo, row_number() OVER (PARTITION BY c_nationkey, c_mktsegment ORDER BY o_orderdate, o_orderkey) - 1 AS i FROM orders JOIN customer ON o_custkey = c_custkey),
+ m AS (SELECT repo, i, CASE i % 7 WHEN 0 THEN i - 5 WHEN 3 THEN i - 3 ELSE i - 1 END AS a, CASE WHEN i % 7 = 0 THEN i - 1 WHEN i % 7 = 5 THEN i - 3 WHEN i % 7 = 4 AND i // 7 % 4 = 3 THEN i // 7 * 7 - 15 END AS b FROM o),
+ p AS (SELECT repo, i, a AS parent FROM m WHERE a >= 0 UNION SELECT repo, i, b FROM m WHERE b >= 0),
+ ra AS (SELECT repo, i AS range, a AS x FROM m WHERE b >= 0 AND a >= 0 UNION SELECT ra.repo, range, parent FROM ra JOIN p ON p.repo = ra.repo AND p.i = ra.x),
+ rb AS (SELECT repo, i AS range, b AS x FROM m WHERE b >= 0 AND a >= 0 UNION SELECT rb.repo, range, parent FROM rb JOIN p ON p.repo = rb.repo AND p.i = rb.x)"""
+
+
+def _history(spark, d) -> DataFrame:
+    """repo, sha, ord, parents: places in the history of a repository."""
+    c = table(spark, d, "customer").select("c_custkey", F.concat(F.col("c_nationkey").cast("string"), "c_mktsegment").alias("repo"))
+    o = table(spark, d, "orders").select(F.col("o_custkey").alias("c_custkey"), "o_orderkey", "o_orderdate").join(c, "c_custkey")
+    i = F.row_number().over(Window.partitionBy("repo").orderBy("o_orderdate", "o_orderkey")) - 1
+    at, block = F.col("sha"), F.floor(F.col("sha") / 7)
+    a = F.when(at % 7 == 0, at - 5).when(at % 7 == 3, at - 3).otherwise(at - 1)
+    b = F.when(at % 7 == 0, at - 1).when(at % 7 == 5, at - 3).when((at % 7 == 4) & (block % 4 == 3), block * 7 - 15)
+    return o.select("repo", i.cast("long").alias("sha")).withColumn("parents", F.filter(F.array(a, b), lambda x: x >= 0))
+
+
+@query("join_12_merged_commits", "JOIN-12", f"{_SQL_HISTORY} SELECT repo, range, x AS sha FROM (SELECT repo, range, x FROM rb EXCEPT SELECT repo, range, x FROM ra)")
+def merged_commits(spark, d):
+    """What every merge brings in: the commits that its second parent reaches and its first does not."""
+    commits = _history(spark, d).withColumn("level", F.col("sha"))
+    merges = commits.where(F.size("parents") > 1).select("repo", F.col("sha").alias("range"), F.col("parents")[0].alias("a"), F.col("parents")[1].alias("b"))
+    return an.ranges(commits, merges)
+
+
+@query("join_12_superseded", "JOIN-12", f"{_SQL_HISTORY} SELECT repo, sha, min(range) AS merge FROM (SELECT repo, range, x AS sha FROM rb EXCEPT SELECT repo, range, x FROM ra) WHERE range % 2 = 1 GROUP BY ALL")
+def superseded(spark, d):
+    """Commits that a kept merge stands for, every second one being kept; the earlier of two merges is later in order."""
+    status = F.when(F.col("sha") % 2 == 1, "kept").otherwise("rejected")
+    commits = _history(spark, d).select("repo", "sha", (-F.col("sha")).alias("ord"), "parents", (F.size("parents") > 1).alias("is_merge"), status.alias("status"))
+    return fn.superseded(commits).select("repo", "sha", "merge")
+
+
 @query("join_16_verify_edges", "JOIN-16 JOIN-30 JOIN-31 JOIN-32 JOIN-33 JOIN-34 JOIN-37 PRJ-80 AGG-29 AGG-36", f"""WITH {_SQL_EDGES},
  f AS (SELECT DISTINCT 'contains' AS type, 'region:' || r_regionkey AS source, 'nation:' || n_nationkey AS target FROM region JOIN nation ON n_regionkey = r_regionkey
  UNION SELECT 'hosts', 'nation:' || n_nationkey, 'customer:' || c_custkey FROM nation JOIN customer ON c_nationkey = n_nationkey WHERE c_acctbal >= 0

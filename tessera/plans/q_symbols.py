@@ -80,6 +80,16 @@ def pick(x):
             return lambda: helper()
         case _:
             return {k: v for k in x for v in k if v and k or x}
+
+
+def late():
+    from .base import Animal as Local
+
+    Local()
+
+
+def later():
+    Local()
 """,
     "pkg.steps": '''LIMIT = 3
 
@@ -118,9 +128,9 @@ def sources(spark, d):
 def _facts(spark, d):
     """The sources, those that parse, their numbered imports, what these bind, and the definitions."""
     s, by = sources(spark, d), ["n_nationkey"]
-    found = pa_.import_table(s.select("n_nationkey", F.col("module").alias("of"), "is_package", "source"), ["n_nationkey", "of", "is_package"], "source")
+    found = pa_.import_table(s.select("n_nationkey", F.col("module").alias("of"), "is_package", "source"), ["n_nationkey", "of", "is_package"], "source").where("top")
     imports = sy.numbered(found.withColumnRenamed("module", "target").withColumnRenamed("of", "module"), by)
-    functions = pa_.function_table(s, by, "source", "module").select(*by, "qualname", F.lit(True).alias("is_function"))
+    functions = pa_.function_table(s, by, "source", "module").where("indexed").select(*by, "qualname", F.lit(True).alias("is_function"))
     classes = pa_.class_table(s, by, "source", "module").select(*by, "qualname", "bases", F.lit(False).alias("is_function"))
     return s, s.where(pa_.parses("source")), imports, sy.bindings(imports, by), functions, classes
 
@@ -149,7 +159,6 @@ CALLS = [
     ("pkg.dog.Dog.speak", "h", 10, "pkg.base.helper"),
     ("pkg.dog.Dog.speak", "pkg.base.helper", 10, "pkg.base.helper"),
     ("pkg.dog.Dog.speak", "b.Animal", 10, "pkg.base.Animal"),
-    ("pkg.dog.Cat.Inner.deep", "open", 17, None),
     ("pkg.dog.run", "base.helper", 23, "pkg.base.helper"),
     ("pkg.dog.run", "Dog().speak", 24, None),
     ("pkg.dog.run", "Dog", 24, "pkg.dog.Dog"),
@@ -158,6 +167,8 @@ CALLS = [
     ("pkg.sub.helper", "helper", 7, "pkg.sub.helper"),
     ("pkg.sub.helper", "Root", 7, None),
     ("pkg.sub.pick", "helper", 18, "pkg.sub.helper"),
+    ("pkg.sub.late", "Local", 26, None),
+    ("pkg.sub.later", "Local", 30, None),
 ]
 
 
@@ -211,6 +222,8 @@ FUNCTIONS = [
     ("pkg.dog.run", 22, 32, 1, "run(xs)", "h", "", None),
     ("pkg.sub.helper", 5, 12, 4, "helper()", "", "", None),
     ("pkg.sub.pick", 15, 20, 8, "pick(x)", "", "", None),
+    ("pkg.sub.late", 23, 26, 1, "late()", "", "", None),
+    ("pkg.sub.later", 29, 30, 1, "later()", "", "", None),
     ("pkg.steps.Steps.take", 5, 13, 4, "take(self, xs, n=2)", "", "Doc.", "pkg.steps.Steps"),
     ("pkg.steps.none", 16, 17, 1, "none()", "", "", None),
 ]
