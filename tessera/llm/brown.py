@@ -246,7 +246,7 @@ def best_class(m: np.ndarray, own: int, left: np.ndarray, right: np.ndarray, its
 def moves(pairs: DataFrame, classes: np.ndarray, m: np.ndarray, share: int, shares: int) -> list[tuple[int, int]]:
     """Words (numbers) of a share of the frequent ones that should move, and where to: at most one row per frequent word.
 
-    A word's neighbours are added up by class before they are brought together, so its rows are at most 2 k + 1.
+    A task adds a word's neighbours up by class before they are brought together, so it sends at most 2 k + 1 rows of a word.
     """
     spark = pairs.sparkSession
     shared = spark.sparkContext.broadcast((classes, m))
@@ -286,9 +286,10 @@ def moves(pairs: DataFrame, classes: np.ndarray, m: np.ndarray, share: int, shar
         judge()
         yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], pa.int32()) for i in (0, 1)], names=["word", "class"])
 
-    added = pairs.mapInArrow(sides, "word int, side int, n long").groupBy("word", "side").agg(F.sum("n").alias("n"))
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    found = added.repartition(tasks, "word").sortWithinPartitions("word", "side").mapInArrow(choose, "word int, class int").collect()
+    # dealt by word once: adding up by word and side and judging a word need no other shuffle
+    added = pairs.mapInArrow(sides, "word int, side int, n long").repartition(tasks, "word").groupBy("word", "side").agg(F.sum("n").alias("n"))
+    found = added.sortWithinPartitions("word", "side").mapInArrow(choose, "word int, class int").collect()
     shared.destroy()
     return sorted((r[0], r[1]) for r in found)
 
