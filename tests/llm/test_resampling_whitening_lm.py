@@ -170,6 +170,14 @@ def tokens(text):
     return [w.encode() for w in re.findall("[^\x20\x09-\x0d]+", "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or ""))] + [b""]
 
 
+def shape(word):
+    if word[-1:] in b".!?":
+        return 2
+    if word[-1:] in b",;:":
+        return 3
+    return 0 if word.isalpha() else 1 if re.search(rb"[0-9]", word) else 4
+
+
 def is_held(doc):
     return zlib.crc32(("" if doc is None else str(doc)).encode()) % 7 == 2
 
@@ -191,7 +199,7 @@ def test_scores_equal_a_plain_model(spark, monkeypatch):
     assert 8 < len(head) < len(c) - 2
     of_number, m, told = found["r"]
     assert all(b >= a for a, b in zip(told, told[1:], strict=False)) and told[-1] > told[0]
-    cls = lambda w: int(of_number[brown.END + 1 + head.index(w)]) if w in head else brown.shape(w) if w else brown.END
+    cls = lambda w: int(of_number[brown.END + 1 + head.index(w)]) if w in head else shape(w) if w else brown.END
     n_classes = brown.END + 1 + k
     between, size = Counter(), Counter()
     for (a, b), n in pairs.items():
@@ -199,7 +207,7 @@ def test_scores_equal_a_plain_model(spark, monkeypatch):
     for w, n in c.items():
         size[cls(w)] += n
     assert all(m[i, j] == between[i, j] for i in range(n_classes) for j in range(n_classes))
-    once = Counter(brown.shape(w) for w, n in c.items() if n == 1 and w and w not in head)
+    once = Counter(shape(w) for w, n in c.items() if n == 1 and w and w not in head)
 
     def p(b, a):
         ca, cb = cls(a), cls(b)
@@ -268,6 +276,11 @@ def test_tokens_are_those_of_the_pattern():
     assert [[words[k] for k, j in zip(at, text, strict=True) if j == i] for i in range(len(texts))] == [tokens(t) for t in texts]
 
 
+def test_shapes_of_words():
+    words = ["abc", "a1", "1", "a.", "é.", "x,", "é", "a-b", "日本", "5!", "-", "É9"]
+    assert brown.shapes(pa.array(words)).tolist() == [shape(w.encode()) for w in words] and len(brown.shapes(pa.array([], pa.string()))) == 0
+
+
 def test_without_training_texts(spark):
     held = next(i for i in range(100) if is_held(i))
     got = brown.score_corpus(spark.createDataFrame([(held, "a b.")], "doc_id long, text string")).first()
