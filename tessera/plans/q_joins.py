@@ -10,6 +10,7 @@ from tessera.operators import ancestry as an
 from tessera.operators import graph as gr
 from tessera.operators import joins as jn
 from tessera.operators import ranges as rg
+from tessera.operators import segments as sg
 from tessera.operators import sequences as sq
 from tessera.plans import funnels as fn
 from tessera.plans.registry import query, table
@@ -235,6 +236,50 @@ def module_scan(spark, d):
     return docs.groupBy("lang").agg(F.count("*").alias("docs"), F.sum(hits).alias("hits"))
 
 
+#: Every document is a segment of its own mebibyte; every nation is a module over a twenty-fifth of the ids below 5,000.
+SEGMENT, MODULE_SEGMENTS, PATTERNS = 1 << 20, 200, [b"tion", b"the "]
+_SQL_SEGMENTS = f"""WITH p AS (SELECT unnest(['tion', 'the ']) AS pattern), d AS (SELECT doc_id AS segment, doc_id * {SEGMENT} AS start, text FROM documents),
+ w AS (SELECT segment, start, pattern, unnest(string_split(text, pattern)) AS piece, generate_subscripts(string_split(text, pattern), 1) AS k, len(string_split(text, pattern)) AS pieces FROM d, p),
+ h AS (SELECT segment, pattern, start + sum(strlen(piece) + 4) OVER (PARTITION BY segment, pattern ORDER BY k) - 4 AS address, k, pieces FROM w)"""
+
+
+def _segments(spark, d) -> DataFrame:
+    return table(spark, d, "documents").select(F.col("doc_id").alias("segment"), (F.col("doc_id") * SEGMENT).alias("start"), F.col("text").cast("binary").alias("content"))
+
+
+def _modules(spark, d) -> DataFrame:
+    n = F.col("n_nationkey").cast("long")
+    return table(spark, d, "nation").select(F.col("n_name").alias("module"), (n * MODULE_SEGMENTS * SEGMENT).alias("base"), ((n + 1) * MODULE_SEGMENTS * SEGMENT).alias("end"), n.alias("ord"), (n % 2 == 1).alias("unloaded"))
+
+
+@query("join_49_segment_hits", "JOIN-49 ITER-21", f"{_SQL_SEGMENTS} SELECT n_name AS module, segment, pattern, address::BIGINT AS address FROM h JOIN nation ON segment // {MODULE_SEGMENTS} = n_nationkey WHERE k < pieces")
+def segment_hits(spark, d):
+    """Every place of the patterns in the segments of every module, over ranges of 4 KiB that overlap."""
+    found = sg.search_modules(_segments(spark, d), _modules(spark, d), PATTERNS, MODULE_SEGMENTS * SEGMENT, size=4096)
+    return found.select("module", "segment", F.decode("pattern", "UTF-8").alias("pattern"), "address")
+
+
+@query("iter_21_first_hits", "ITER-21", f"{_SQL_SEGMENTS} SELECT segment, pattern, min(address)::BIGINT AS address FROM h WHERE k < pieces GROUP BY ALL")
+def first_hits(spark, d):
+    """The first place of each pattern in every segment."""
+    return sg.search(_segments(spark, d), PATTERNS, find_first=True, size=4096).withColumn("pattern", F.decode("pattern", "UTF-8"))
+
+
+@query("src_22_memory_reads", "SRC-22 SRC-23", f"""WITH r AS (SELECT doc_id AS request, doc_id * {SEGMENT} + doc_id * 37 % 1500 AS address FROM documents), d AS (SELECT doc_id, doc_id * 37 % 1500 AS o, strlen(text) AS n, hex(encode(text)) AS h FROM documents)
+ SELECT request, address, CASE WHEN o < n AND o + 16 <= n THEN substr(h, 2 * o + 1, 32) END AS data, CASE WHEN o >= n THEN 'address not in memory range' WHEN o + 16 > n THEN 'read would cross boundaries' END AS error FROM r JOIN d ON doc_id = request""")
+def memory_reads(spark, d):
+    """Sixteen bytes at an address for every document, which may lie outside of all segments or too near to the end of one."""
+    requests = table(spark, d, "documents").select(F.col("doc_id").alias("request"), (F.col("doc_id") * SEGMENT + F.col("doc_id") * 37 % 1500).alias("address"), F.lit(16).alias("size"))
+    return sg.read_at(_segments(spark, d), requests, SEGMENT).select("request", "address", F.hex("data").alias("data"), "error")
+
+
+@query("prj_91_module_names", "PRJ-91", "WITH w AS (SELECT DISTINCT left(n_name, 2) AS name FROM nation UNION SELECT 'nowhere') SELECT name, arg_min(n_name, (n_nationkey % 2, n_nationkey)) AS module FROM w LEFT JOIN nation ON contains(lower(n_name), lower(name)) GROUP BY 1")
+def module_names(spark, d):
+    """The module that a part of a name, in any case, stands for: loaded ones first."""
+    wanted = table(spark, d, "nation").select(F.substring("n_name", 1, 2).alias("name")).union(spark.createDataFrame([("nowhere",)], "name string")).distinct()
+    return sg.find_modules(_modules(spark, d), wanted).select("name", "module")
+
+
 @query("udf_11_graph_tools", "UDF-11 UDF-12 UDF-10", f"WITH {_SQL_EDGES} SELECT DISTINCT target FROM e WHERE source = 'nation:3' UNION SELECT DISTINCT source FROM e WHERE target = 'nation:3'")
 def graph_tools(spark, d):
     from tessera.plans.tools import graph_tools as tools
