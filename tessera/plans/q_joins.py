@@ -288,3 +288,40 @@ def graph_tools(spark, d):
     nodes = edges.select(F.col("source").alias("id")).distinct()
     t = tools(nodes, edges, spark.createDataFrame([], "ord long, sha string"))
     return t["callees"](qualname="nation:3").union(t["callers"](qualname="nation:3")).distinct()
+
+
+_SQL_TOOLS = f"""WITH {_SQL_EDGES}, g AS (SELECT DISTINCT CASE type WHEN 'hosts' THEN 'calls' WHEN 'orders' THEN 'tested_by' ELSE type END AS type, replace(source, ':', '.') AS source, replace(target, ':', '.') AS target FROM e),
+ n AS (SELECT DISTINCT source AS id FROM g), c AS (SELECT o_orderkey AS ord, md5(o_orderkey::VARCHAR) AS sha FROM orders)"""
+
+
+@query("udf_10_table_functions", "UDF-10 UDF-11 UDF-12 JOIN-24 JOIN-25", f"""{_SQL_TOOLS} SELECT 'show_symbol' AS tool, id AS asked, id AS answer FROM n WHERE id = 'nation.3'
+ UNION ALL SELECT DISTINCT 'callers', target, source FROM g WHERE type = 'calls' UNION ALL SELECT DISTINCT 'callees', source, target FROM g WHERE type = 'calls'
+ UNION ALL SELECT DISTINCT 'tests_for', source, target FROM g WHERE type = 'tested_by'
+ UNION ALL (SELECT 'show_commit', 'a', sha FROM c WHERE starts_with(sha, 'a') ORDER BY ord LIMIT 1)
+ UNION ALL SELECT 'module_members', 'nation', id FROM n WHERE starts_with(id, 'nation.')""")
+def table_functions(spark, d):
+    """The six tools called from SQL: for a constant, and for every node of the graph at once."""
+    from tessera.plans import table_functions as tf
+
+    kind = F.when(F.col("type") == "hosts", "calls").when(F.col("type") == "orders", "tested_by").otherwise(F.col("type"))
+    dotted = [F.replace(c, F.lit(":"), F.lit(".")).alias(c) for c in ("source", "target")]
+    edges = _edges(spark, d).select(kind.alias("type"), *dotted).distinct()
+    nodes = edges.select(F.col("source").alias("id")).distinct().withColumn("type", F.substring_index("id", ".", 1))
+    commits = table(spark, d, "orders").select(F.col("o_orderkey").alias("ord"), F.md5(F.col("o_orderkey").cast("string").cast("binary")).alias("sha"), F.col("o_orderpriority").alias("message"))
+    tf.register_graph(spark, nodes, edges, commits)
+    return spark.sql("""SELECT 'show_symbol' AS tool, 'nation.3' AS asked, id AS answer FROM show_symbol('nation.3')
+        UNION ALL SELECT 'callers', t.id, f.source FROM (SELECT DISTINCT target AS id FROM tessera_edges) t, LATERAL callers(t.id) f
+        UNION ALL SELECT 'callees', t.id, f.target FROM tessera_nodes t, LATERAL callees(t.id) f
+        UNION ALL SELECT 'tests_for', t.id, f.test FROM tessera_nodes t, LATERAL tests_for(t.id) f
+        UNION ALL SELECT 'show_commit', 'a', sha FROM show_commit('a')
+        UNION ALL SELECT 'module_members', 'nation', id FROM module_members('nation')""")
+
+
+@query("udf_10_grep_file", "UDF-10 UDF-11", "SELECT doc_id::VARCHAR AS path, no, line FROM (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY no) AS rn FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS no FROM documents) WHERE regexp_matches(line, 'tion|ing ')) WHERE rn <= 3")
+def grep_file(spark, d):
+    """The first three lines of every document that match, by a table function over the table of documents."""
+    from tessera.plans import table_functions as tf
+
+    tf.register_files(spark)
+    table(spark, d, "documents").select(F.col("doc_id").cast("string").alias("path"), F.col("text").alias("content")).createOrReplaceTempView("tessera_files")
+    return spark.sql("SELECT * FROM grep_file(TABLE(SELECT path, content FROM tessera_files) PARTITION BY (path), 'tion|ing ', 3)")
