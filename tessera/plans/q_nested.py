@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tessera.plans import patterns as pt
 from tessera.plans import spec as sp
 from tessera.plans.registry import query, table
 
@@ -65,7 +66,7 @@ def truthy(spark, d):
     return _events(spark, d).select("event_id", sp.truthy("int")(F.col("props.k") % 2).alias("odd"))
 
 
-@query("prj_55_match", "PRJ-55 PRJ-56 PRJ-57 PRJ-60 PRJ-61 PRJ-62 PRJ-63 PRJ-64 PRJ-67 PRJ-89 PRJ-90", "SELECT event_id, (event_type IN ('click', 'view') OR value > 50) AND NOT (value > 90) AND json_keys(props) = ['k'] AS ok FROM events")
+@query("prj_55_match", "PRJ-55 PRJ-56 PRJ-60 PRJ-61 PRJ-62", "SELECT event_id, (event_type IN ('click', 'view') OR value > 50) AND NOT (value > 90) AND json_keys(props) = ['k'] AS ok FROM events")
 def match(spark, d):
     e = table(spark, d, "events").select("event_id", "event_type", "value", F.from_json("props", "map<string,string>").alias("m"))
     kind = sp.any_of(lambda r: sp.one_of("click", "view")(r["event_type"]), lambda r: r["value"] > 50)
@@ -73,6 +74,28 @@ def match(spark, d):
     return e.withColumn("row", F.struct("event_type", "value", "m")).select("event_id", ok(F.col("row")).alias("ok"))
 
 
+_PATTERN = {
+    "event_type": pt.Or("click", "view", pt.Regex("e.*")),
+    "value": (pt.M <= 90) & float,
+    "props": {pt.Required(pt.Regex("k+")): pt.And(int, pt.M >= 10, pt.M != 50), pt.Optional("note", default="none"): str},
+    pt.Optional("source", default={"from": "web"}): dict,
+}
+
+
+@query("prj_57_patterns", "PRJ-55 PRJ-56 PRJ-57 PRJ-60 PRJ-61 PRJ-63 PRJ-64 PRJ-65 PRJ-66 PRJ-67 PRJ-89 PRJ-90", """WITH r AS (SELECT event_id, value, (props->>'k')::INTEGER AS k, event_type AS t FROM events),
+    w AS (SELECT *, CASE WHEN t NOT IN ('click', 'view') AND t NOT LIKE 'e%' THEN '$.event_type: does not match e.*' WHEN k < 10 THEN '$.props.k: M >= 10 does not hold'
+    WHEN k = 50 THEN '$.props.k: M <> 50 does not hold' WHEN value > 90 THEN '$.value: M <= 90 does not hold' END AS why FROM r)
+    SELECT event_id, why, CASE WHEN why IS NULL THEN 'none' END AS note, CASE WHEN why IS NULL THEN 'web' END AS origin, CASE WHEN why IS NULL THEN k END AS k, k > value AS above FROM w""")
+def patterns(spark, d):
+    e = table(spark, d, "events").select("event_id", F.struct("event_type", "value", F.from_json("props", "k long").alias("props")).alias("row"))
+    e = e.select("event_id", F.to_variant_object("row").alias("v"))
+    why = pt.failure(F.col("v"), _PATTERN)
+    got = e.select("event_id", "v", why.alias("why"), pt.failure(F.col("v"), pt.M("props.k") > pt.M("value")).isNull().alias("above"))
+    got = got.withColumn("m", F.when(F.col("why").isNull(), pt.matched(F.col("v"), _PATTERN)))
+    note, origin, k = sp.get_variant(F.col("m"), "props.note"), sp.get_variant(F.col("m"), "source.from"), sp.get_variant(F.col("m"), "props.k", "int")
+    return got.select("event_id", "why", note.alias("note"), origin.alias("origin"), k.alias("k"), "above")
+
+
 @query("prj_58_switch", "PRJ-58", "SELECT event_id, CASE WHEN value < 10 THEN 'low' WHEN value < 50 THEN event_type ELSE 'high' END AS band FROM events")
 def switch(spark, d):
     e = _events(spark, d).withColumn("row", F.struct("event_type", "value"))
