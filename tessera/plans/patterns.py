@@ -21,6 +21,7 @@ Defined cases: a null column is JSON null; values of different kinds are unequal
 from __future__ import annotations
 
 import json
+import operator
 from collections.abc import Callable
 from dataclasses import dataclass, field
 from functools import reduce
@@ -184,41 +185,62 @@ def _name(pattern: Any) -> str:
 def kind(v: Column) -> Column:
     """str, int, float, bool, dict, list or null: the kind of a VARIANT."""
     names = {"STRING": "str", "BIGINT": "int", "BOOLEAN": "bool", "OBJECT": "dict", "ARRAY": "list", "DECIMAL": "float", "DOUBLE": "float", "FLOAT": "float"}
-    head = F.regexp_extract(F.schema_of_variant(v), "^[A-Z]+", 0)
-    return reduce(lambda rest, n: F.when(head == n, F.lit(names[n])).otherwise(rest), names, F.lit("null"))
+    known = F.create_map(*[F.lit(x) for pair in names.items() for x in pair])
+    return F.coalesce(F.try_element_at(known, F.regexp_extract(F.schema_of_variant(v), "^[A-Z]+", 0)), F.lit("null"))
+
+
+@dataclass(frozen=True)
+class _Node:
+    """A VARIANT and its kind, which is found once."""
+
+    value: Column
+    kind: Column
+
+
+def _bound(v: Column, then: Callable[[_Node], Column]) -> Column:
+    """An expression of a value that is evaluated once, however often the expression names it."""
+    return F.get(F.transform(F.array(F.struct(v.alias("value"), kind(v).alias("kind"))), lambda x: then(_Node(x["value"], x["kind"]))), 0)
 
 
 def _constant(value: Any) -> Column:
     return F.parse_json(F.lit(json.dumps(value)))
 
 
-def _side(v: Column, side: Any) -> Column:
+def _side(n: _Node, side: Any, then: Callable[[_Node], Column]) -> Column:
     if isinstance(side, Value):
-        return F.try_variant_get(v, variant_path(side.path), "variant") if side.path else v
-    return _constant(side)
+        return _bound(F.try_variant_get(n.value, variant_path(side.path), "variant"), then) if side.path else then(n)
+    kinds = {str: "str", bool: "bool", int: "int", float: "float", dict: "dict", list: "list", tuple: "list"}
+    return then(_Node(_constant(side), F.lit(kinds.get(type(side), "null"))))
 
 
-def _number(v: Column) -> Column:
+def _number(n: _Node) -> Column:
     """Numbers and booleans as double; null for other kinds."""
-    return F.when(kind(v).isin("int", "float", "bool"), v.try_cast("double"))
+    return F.when(n.kind.isin("int", "float", "bool"), n.value.try_cast("double"))
 
 
-def _compare(v: Column, left: Any, op: str, right: Any) -> Column:
-    a, b = _side(v, left), _side(v, right)
-    ordered = {"=": lambda x, y: x == y, "<>": lambda x, y: x != y, "<": lambda x, y: x < y, "<=": lambda x, y: x <= y, ">": lambda x, y: x > y, ">=": lambda x, y: x >= y}[op]
-    whole = F.when((kind(a) == "int") & (kind(b) == "int"), ordered(a.try_cast("long"), b.try_cast("long")))
-    numbers = ordered(_number(a), _number(b))
-    texts = F.when((kind(a) == "str") & (kind(b) == "str"), ordered(a.try_cast("string"), b.try_cast("string")))
+_OPS = {"=": operator.eq, "<>": operator.ne, "<": operator.lt, "<=": operator.le, ">": operator.gt, ">=": operator.ge}
+
+
+def _compared(a: _Node, op: str, b: _Node) -> Column:
+    ordered = _OPS[op]
+    both = lambda name: (a.kind == name) & (b.kind == name)
+    whole = F.when(both("int"), ordered(a.value.try_cast("long"), b.value.try_cast("long")))
+    texts = F.when(both("str"), ordered(a.value.try_cast("string"), b.value.try_cast("string")))
     nested = F.lit(False)
     if op in ("=", "<>"):
-        same_kind = (kind(a) == kind(b)) & ordered(F.coalesce(F.to_json(a), F.lit("null")), F.coalesce(F.to_json(b), F.lit("null")))
-        nested = same_kind if op == "=" else (kind(a) != kind(b)) | same_kind
-    return F.coalesce(whole, numbers, texts, nested)
+        same = ordered(F.coalesce(F.to_json(a.value), F.lit("null")), F.coalesce(F.to_json(b.value), F.lit("null")))
+        nested = (a.kind == b.kind) & same if op == "=" else (a.kind != b.kind) | same
+    return F.coalesce(whole, ordered(_number(a), _number(b)), texts, nested)
+
 
+def _compare(n: _Node, left: Any, op: str, right: Any) -> Column:
+    return _side(n, left, lambda a: _side(n, right, lambda b: _compared(a, op, b)))
 
-def _truthy(v: Column) -> Column:
+
+def _truthy(n: _Node) -> Column:
+    v = n.value
     sizes = F.coalesce(F.size(v.try_cast("map<string,variant>")), F.size(v.try_cast("array<variant>")))
-    return F.coalesce(F.when(kind(v).isin("dict", "list"), sizes > 0), F.when(kind(v) == "str", v.try_cast("string") != ""), _number(v) != 0, F.lit(False))
+    return F.coalesce(F.when(n.kind.isin("dict", "list"), sizes > 0), F.when(n.kind == "str", v.try_cast("string") != ""), _number(n) != 0, F.lit(False))
 
 
 def _first(values: Column) -> Column:
@@ -229,12 +251,12 @@ def _fail(holds: Column, path: Column, reason: str | Column) -> Column:
     return F.when(~F.coalesce(holds, F.lit(False)), F.concat(path, F.lit(": "), F.lit(reason) if isinstance(reason, str) else reason))
 
 
-def _of_kind(v: Column, wanted: type, path: Column) -> Column:
+def _of_kind(n: _Node, wanted: type, path: Column) -> Column:
     if wanted is object:
         return F.lit(None).cast("string")
     if wanted not in _KINDS:
         raise TypeError(f"no JSON value is a {wanted.__name__}")
-    return _fail(kind(v).isin(_KINDS[wanted]), path, F.concat(F.lit(f"expected {wanted.__name__}, got "), kind(v)))
+    return _fail(n.kind.isin(_KINDS[wanted]), path, F.concat(F.lit(f"expected {wanted.__name__}, got "), n.kind))
 
 
 def _key_matches(key: Column, pattern: Any) -> Column:
@@ -243,7 +265,7 @@ def _key_matches(key: Column, pattern: Any) -> Column:
         return key == inner
     if inner is str or inner is object:
         return F.lit(True)
-    return failure(F.to_variant_object(F.array(key)).try_cast("array<variant>")[0], inner).isNull()
+    return _failure(_Node(key.cast("variant"), F.lit("str")), inner, F.lit("")).isNull()
 
 
 def _choice(key: Column, patterns: list) -> Column:
@@ -255,8 +277,8 @@ def _by_key(key: Column, patterns: list, then: Callable[[Any], Column], none: Co
     return reduce(lambda rest, p: F.when(_key_matches(key, p), then(p)).otherwise(rest), reversed(patterns), none)
 
 
-def _object(v: Column, pattern: dict, path: Column) -> Column:
-    fields, patterns = v.try_cast("map<string,variant>"), list(pattern)
+def _object(n: _Node, pattern: dict, path: Column) -> Column:
+    fields, patterns = n.value.try_cast("map<string,variant>"), list(pattern)
 
     def field(e: Column) -> Column:
         at = F.concat(path, F.lit("."), e["key"])
@@ -269,47 +291,52 @@ def _object(v: Column, pattern: dict, path: Column) -> Column:
 
     needed = [missing(i, p) for i, p in enumerate(patterns) if isinstance(p, Required) or not precedence(p) and not isinstance(p, Optional)]
     found = _first(F.transform(F.array_sort(F.map_entries(fields), lambda a, b: F.when(a["key"] < b["key"], -1).otherwise(F.when(a["key"] > b["key"], 1).otherwise(0))), field))
-    return F.coalesce(_of_kind(v, dict, path), found, *needed)
+    return F.coalesce(_of_kind(n, dict, path), found, *needed)
 
 
-def _array(v: Column, pattern: list | tuple, path: Column) -> Column:
-    items, wrong = v.try_cast("array<variant>"), _of_kind(v, list, path)
+def _array(n: _Node, pattern: list | tuple, path: Column) -> Column:
+    items, wrong = n.value.try_cast("array<variant>"), _of_kind(n, list, path)
     place = lambda i: F.concat(path, F.lit("["), F.lit(i).cast("string") if isinstance(i, int) else i.cast("string"), F.lit("]"))
     if isinstance(pattern, tuple):
         size = _fail(F.size(items) == len(pattern), path, F.concat(F.lit(f"expected {len(pattern)} elements, got "), F.size(items).cast("string")))
         return F.coalesce(wrong, size, *[failure(F.get(items, i), p, place(i)) for i, p in enumerate(pattern)])
     if not pattern:
         return F.coalesce(wrong, _fail(F.size(items) == 0, path, "the pattern is empty, the array is not"))
-    # the last pattern's mismatch tells why
     return F.coalesce(wrong, _first(F.transform(items, lambda x, i: failure(x, Or(*pattern), place(i)))))
 
 
 def failure(v: Column, pattern: Any, path: Column | None = None) -> Column:
     """The path and reason of the first mismatch of a VARIANT; null where it matches."""
-    path = F.lit("$") if path is None else path
+    return _bound(v, lambda n: _failure(n, pattern, F.lit("$") if path is None else path))
+
+
+def _failure(n: _Node, pattern: Any, path: Column) -> Column:
     if isinstance(pattern, type):
-        return _of_kind(v, pattern, path)
+        return _of_kind(n, pattern, path)
     if isinstance(pattern, dict):
-        return _object(v, pattern, path)
+        return _object(n, pattern, path)
     if isinstance(pattern, (list, tuple)):
-        return _array(v, pattern, path)
+        return _array(n, pattern, path)
     if isinstance(pattern, Match):
-        return failure(v, pattern.pattern, path) if pattern.default is _MISSING else F.lit(None).cast("string")
+        return _failure(n, pattern.pattern, path) if pattern.default is _MISSING else F.lit(None).cast("string")
     if isinstance(pattern, _Several):
         if pattern.default is not _MISSING:
             return F.lit(None).cast("string")
-        each = [failure(v, p, path) for p in pattern.patterns]
-        return F.coalesce(*each) if isinstance(pattern, And) else reduce(lambda done, f: F.when(done.isNull(), None).otherwise(f), each)
+        each = [_failure(n, p, path) for p in pattern.patterns]
+        if isinstance(pattern, And):
+            return F.coalesce(*each)
+        # the last pattern's mismatch tells why
+        return reduce(lambda rest, f: F.when(f.isNull(), None).otherwise(rest), reversed(each[:-1]), each[-1])
     if isinstance(pattern, Not):
-        return _fail(failure(v, pattern.pattern, path).isNotNull(), path, f"{pattern!r} does not hold")
+        return _fail(_failure(n, pattern.pattern, path).isNotNull(), path, f"{pattern!r} does not hold")
     if isinstance(pattern, Regex):
         test = {"full": f"^(?:{pattern.pattern})$", "match": f"^(?:{pattern.pattern})", "search": pattern.pattern}[pattern.how]
-        return F.coalesce(_of_kind(v, str, path), _fail(v.try_cast("string").rlike(test), path, f"does not match {pattern.pattern}"))
+        return F.coalesce(_of_kind(n, str, path), _fail(n.value.try_cast("string").rlike(test), path, f"does not match {pattern.pattern}"))
     if isinstance(pattern, Value):
-        return _fail(_truthy(_side(v, pattern)), path, f"{pattern!r} is not truthy")
+        return _fail(_side(n, pattern, _truthy), path, f"{pattern!r} is not truthy")
     if isinstance(pattern, Compare):
-        return _fail(_compare(v, pattern.left, pattern.op, pattern.right), path, f"{pattern!r} does not hold")
-    return _fail(_compare(v, M, "=", pattern), path, f"is not {pattern!r}")
+        return _fail(_compare(n, pattern.left, pattern.op, pattern.right), path, f"{pattern!r} does not hold")
+    return _fail(_compare(n, M, "=", pattern), path, f"is not {pattern!r}")
 
 
 def matched(v: Column, pattern: Any) -> Column:
