@@ -12,6 +12,7 @@ from tessera.operators import sequences as sq
 from tessera.plans import ledger as lg
 from tessera.plans import steps as st
 from tessera.plans.registry import query, table
+from tessera.streaming import retries as rt
 
 
 def _pool(spark, d) -> DataFrame:
@@ -92,13 +93,24 @@ def obsolete(spark, d):
     return lg.obsolete(table(spark, d, "documents").select("doc_id"), table(spark, d, "labels"), "doc_id")
 
 
-@query("iter_17_batches", "ITER-17 ITER-18 ITER-19 ITER-27 ITER-28 ITER-06", """WITH r AS (SELECT doc_id, quality = 0 AS good, row_number() OVER (ORDER BY doc_id) - 1 AS ord FROM labels), b AS (SELECT ord // 15 AS batch, count(*) FILTER (good) AS g FROM r GROUP BY 1),
+@query("iter_17_batches", "ITER-17 ITER-18 ITER-19 ITER-28 ITER-06", """WITH r AS (SELECT doc_id, quality = 0 AS good, row_number() OVER (ORDER BY doc_id) - 1 AS ord FROM labels), b AS (SELECT ord // 15 AS batch, count(*) FILTER (good) AS g FROM r GROUP BY 1),
  w AS (SELECT batch, coalesce(sum(g) OVER (ORDER BY batch ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) < 20 AND batch * 15 < 240 AS ran FROM b) SELECT doc_id, ran FROM r JOIN w ON batch = ord // 15""")
 def batches(spark, d):
     rows = sq.with_ordinals(table(spark, d, "labels").select("doc_id", (F.col("quality") == 0).alias("good")), ["doc_id"])
     return lg.batches_until(rows, "ord", "good", 15, 20, 240).select("doc_id", "ran")
 
 
+@query("iter_27_retries", "ITER-11 ITER-17 ITER-27", """WITH a AS (SELECT user_id::VARCHAR AS task, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id)::INTEGER AS attempt, CASE WHEN event_type <> 'click' THEN event_type END AS issue, value FROM events),
+    s AS (SELECT *, sum(value) OVER (PARTITION BY task ORDER BY attempt ROWS UNBOUNDED PRECEDING) AS spent FROM a),
+    t AS (SELECT *, CASE WHEN issue IS NULL THEN 'final' WHEN attempt >= 3 OR spent >= 40 THEN 'failed' ELSE 'retry' END AS status FROM s)
+    SELECT task, attempt, status, CASE WHEN status = 'failed' AND attempt < 3 AND spent >= 40 THEN 'budget spent' ELSE issue END AS feedback, round(spent, 2) AS spent FROM t
+    QUALIFY count(*) FILTER (status <> 'retry') OVER (PARTITION BY task ORDER BY attempt ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) = 0""")
+def retries(spark, d):
+    e = sq.number(table(spark, d, "events"), ["user_id"], ["ts", "event_id"])
+    answers = e.select(F.col("user_id").cast("string").alias("task"), (F.col("ord") + 1).cast("int").alias("attempt"), F.when(F.col("event_type") != "click", F.col("event_type")).alias("issue"), F.col("value").alias("cost"), F.lit(None).cast("string").alias("payload"))
+    return rt.decide_table(answers, 3, 40.0).select("task", "attempt", "status", "feedback", F.round("spent", 2).alias("spent"))
+
+
 @query("iter_12_reuse", "ITER-12 ITER-16 UDF-22", "SELECT count(*) FILTER (l.doc_id IS NOT NULL) AS hits, count(*) FILTER (l.doc_id IS NULL) AS misses FROM documents d LEFT JOIN labels l USING (doc_id)")
 def reuse(spark, d):
     hit, miss = lg.reuse(table(spark, d, "documents").select("doc_id"), table(spark, d, "labels"), ["doc_id"], ["quality"])
