@@ -13,8 +13,8 @@ kept from its first line to its last, one that does not (a teaser, a card of lin
 the distribution over all lines.
 
 Words of class, id and role attributes tell boilerplate by whole layout tokens ("site-footer", "ad", "cookie-banner",
-not "with-sidebar"); they never silence article, main, body or a heading. Inside an article, words that an article may
-use of itself (related, share, header, ...) count only for parts that are mostly links. Where the marks would leave
+not "with-sidebar"); they never silence main, body or a heading, and of articles only those marked as comments. Inside an
+article, words that it may use of itself (related, share, header, ...) count only for parts that are mostly links. Where the marks would leave
 next to nothing, the page is read again without them.
 
 Defined cases: null or empty html, and pages without a line of text, give empty text; unclosed comments, scripts and
@@ -83,6 +83,8 @@ def marks(attributes: str) -> tuple[bool, bool, bool, bool]:
         name, value = name.lower(), "".join(values)
         if name == "hidden":
             noise = True
+        elif name == "itemprop" and value.strip().lower() == "comment":
+            noise = comments = True
         elif name in ("role", "itemprop") and value.strip().lower() in MAIN_ROLES:
             main = True
         elif name in ("class", "id", "role", "aria-label"):
@@ -189,7 +191,8 @@ class Lines:
         if name == "p":
             self._quiet_p = noise
             return
-        main = (main or name in MAIN) and not self._comments
+        # an article that is marked as a reader's comment is one, wherever it stands
+        main = (main or name in MAIN) and not self._comments and not (comments and name == "article")
         inside = bool(self._mains)
         header = name == "header" and inside
         mute = main or name in HEADINGS or name in ("html", "body")

@@ -50,6 +50,10 @@ LONG = "This sentence is long enough to be the text of an article that somebody
         (f"<article><p>{LONG}</p></article><article><p>Teaser.</p></article><article><a href=x>{LONG}</a></article>", LONG.strip()),
         (f"<div>menu words</div><div><div><div><h1><a href=x>Title</a></h1></div></div><div><p>{LONG}</p><p><a href=x>a link</a></p><p>tail</p></div></div><div><div><div>Copyright of somebody</div></div></div>", f"Title {LONG.strip()} a link tail"),
         (f"<div role=main><p>{LONG}</p><p>x</p></div><p>{LONG}</p>", f"{LONG.strip()} x"),
+        # comments that are articles themselves, inside the article, beside it, and told by itemprop
+        (f"<article><p>{LONG}</p><article class='comment'><p>{LONG}</p></article><p>end</p></article>", f"{LONG.strip()} end"),
+        (f"<article class='post comments-open'><p>{LONG}</p></article><article class='comment depth-1' id='comment-3'><p>{LONG}</p></article>", LONG.strip()),
+        (f"<article><p>{LONG}</p><div itemprop='comment'><p>{LONG}</p></div></article>", LONG.strip()),
         ("5 < 6 and <b>x</b>", "5 < 6 and x"),
         (f"<div><div>some menu</div></div><div class=content><p>{LONG}</p><div class=ad>Buy!</div><aside>a<p>b</p></aside><p>Short end.</p></div><div><div>Copyright</div></div>", f"{LONG.strip()} Short end."),
     ],
