@@ -14,8 +14,8 @@ the distribution over all lines.
 
 Words of class, id and role attributes tell boilerplate by whole layout tokens ("site-footer", "ad", "cookie-banner",
 not "with-sidebar"); they never silence main, body or a heading, and of articles only those marked as comments. Inside an
-article, words that it may use of itself (related, share, header, ...) count only for parts that are mostly links. Where the marks would leave
-next to nothing, the page is read again without them.
+article, words that it may use of itself (related, share, header, ...) count only for parts that are mostly links.
+Where the marks would leave next to nothing, the page is read again without them.
 
 Defined cases: null or empty html, and pages without a line of text, give empty text; unclosed comments, scripts and
 styles run to the end of the page, other unclosed elements end with the element around them; an attribute without a
