@@ -6,7 +6,8 @@ them and its table hides every differing bit: each pair within the radius meets
 
 Equal fingerprints are one node, so copies cost nothing. Within a table's bucket the links are reduced to a
 spanning forest while they are found: never all pairs of a group. Buckets beyond BUCKET_ROWS are dealt over
-pairs of blocks, so no task holds an unbounded group, and nothing is capped.
+pairs of blocks, so no task holds an unbounded group, and nothing is capped. Joins of fingerprints are by merging: a broadcast
+would build its side in the driver.
 
 Defined cases: null and empty texts, and texts of white space, have fingerprint zero and link like any other;
 fewer words than a shingle are one shingle; repeated rows keep their rows; an empty table gives an empty
@@ -216,7 +217,7 @@ def links(nodes: DataFrame, radius: int, bucket_rows: int = BUCKET_ROWS, first:
     sizes = tables.groupBy(bucket.alias("key")).agg(F.count("*").alias("n"), F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("key", "n")
     blocks = F.ceil(F.col("n") / F.lit(bucket_rows)).cast("int")
     own = F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int")
-    met = tables.select("fp", "v").join(sizes, bucket == F.col("key")).withColumn("blocks", blocks).withColumn("block", own).join(nodes.select("fp", "root"), "fp")
+    met = tables.select("fp", "v").join(sizes.hint("merge"), bucket == F.col("key")).withColumn("blocks", blocks).withColumn("block", own).join(nodes.select("fp", "root").hint("merge"), "fp")
     dealt = met.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select("key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "fp", "root")
     n = int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     sorted_rows = dealt.repartition(n, "key", "i", "j").sortWithinPartitions("key", "i", "j", "fp")
@@ -234,7 +235,7 @@ def connect(distinct: DataFrame, radius: int, bucket_rows: int = BUCKET_ROWS, st
     for first, last in ((0, min(step, tables)), (step, tables)):
         if first < last:
             found = components(links(nodes, radius, bucket_rows, first, last)).withColumnRenamed("root", "to")
-            nodes = cut(nodes.join(found, nodes.root == found.node, "left").select("fp", F.coalesce("to", "root").alias("root")))
+            nodes = cut(nodes.join(found.hint("merge"), nodes.root == found.node, "left").select("fp", F.coalesce("to", "root").alias("root")))
     return nodes
 
 
@@ -243,10 +244,10 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text: Column | str =
     text = F.col(text) if isinstance(text, str) else text
     prints = cut(fingerprints(df.select(F.col(id_col).alias("doc_id"), text.alias("text")), "text", words, seed).drop("text"))
     distinct = cut(prints.groupBy("fp").agg(F.min("doc_id").alias("least")))
-    rooted = distinct.join(connect(distinct, radius), "fp").select("fp", "least", "root")
+    rooted = distinct.join(connect(distinct, radius).hint("merge"), "fp").select("fp", "least", "root")
     named = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    classes = rooted.join(named, "root").select("fp", "component_id")
-    return prints.join(classes, "fp").select("doc_id", "fp", "component_id")
+    classes = rooted.join(named.hint("merge"), "root").select("fp", "component_id")
+    return prints.join(classes.hint("merge"), "fp").select("doc_id", "fp", "component_id")
 
 
 def shingle_set(text: str | None, words: int, seed: int) -> np.ndarray:
@@ -346,12 +347,12 @@ def near_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", w
     prints = cut(fingerprints(rows, "text", words, seed).drop("text"))
     texts = prints.groupBy("digest").agg(F.first("fp").alias("fp"), F.min("doc_id").alias("least"), F.first("size").alias("size"))
     texts = cut(texts.withColumn("node", F.monotonically_increasing_id()))
-    rooted = texts.join(connect(texts.select("fp").distinct(), radius), "fp")
+    rooted = texts.join(connect(texts.select("fp").distinct(), radius).hint("merge"), "fp")
     groups = rooted.groupBy("root").agg(F.count("*").alias("n"), F.sum("size").alias("chars")).where("n > 1").select("root", F.ceil(F.col("chars") / F.lit(block_chars)).cast("int").alias("blocks"))
     groups = groups.withColumn("blocks", F.greatest("blocks", F.lit(1)))
-    members = cut(rooted.join(groups, "root").select("digest", F.col("least").alias("doc_id"), "fp", "node", "root", "blocks"))
+    members = cut(rooted.join(groups.hint("merge"), "root").select("digest", F.col("least").alias("doc_id"), "fp", "node", "root", "blocks"))
     # one row of each text is enough; rows that share id and text are told apart by nothing and met again as one node
-    fed = rows.select("doc_id", "digest", "text").alias("r").join(members.alias("m"), (F.col("r.digest") == F.col("m.digest")) & F.col("r.doc_id").eqNullSafe(F.col("m.doc_id"))).select("m.node", "m.fp", "m.root", "m.blocks", "r.text")
+    fed = rows.select("doc_id", "digest", "text").alias("r").join(members.hint("merge").alias("m"), (F.col("r.digest") == F.col("m.digest")) & F.col("r.doc_id").eqNullSafe(F.col("m.doc_id"))).select("m.node", "m.fp", "m.root", "m.blocks", "r.text")
 
     def make():
         return lambda given: [[shingle_set(t, words, seed).tobytes() for t in given]]
@@ -361,9 +362,9 @@ def near_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", w
     dealt = dealt.select("root", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "node", "fp", "hashes")
     n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     found = components(dealt.repartition(n, "root", "i", "j").sortWithinPartitions("root", "i", "j").mapInArrow(lambda it: _similar(it, radius, least), "a long, b long"))
-    named = texts.join(found, "node", "left").select("digest", "least", F.coalesce("root", "node").alias("root"))
+    named = texts.join(found.hint("merge"), "node", "left").select("digest", "least", F.coalesce("root", "node").alias("root"))
     leaders = named.where("least IS NOT NULL").groupBy("root").agg(F.min(F.struct(F.col("least").alias("doc_id"), "digest")).alias("leader"))
-    return prints.select("doc_id", "digest").join(named.join(leaders, "root", "left").select("digest", "leader"), "digest")
+    return prints.select("doc_id", "digest").join(named.join(leaders.hint("merge"), "root", "left").select("digest", "leader").hint("merge"), "digest")
 
 
 def text_digest(text: str) -> Column:

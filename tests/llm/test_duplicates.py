@@ -13,6 +13,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from tessera.llm import components as comp
 from tessera.llm import simhash, substrings
 from tessera.llm.components import components
 
@@ -156,6 +157,38 @@ def test_components(spark):
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+def test_components_take_few_steps(spark, monkeypatch):
+    """What fits a task is done in two written tables, however long its paths; more edges meet in blocks, step by step."""
+    made = []
+    monkeypatch.setattr(comp, "cut", lambda df, cut=comp.cut: made.append(1) or cut(df))
+    order = random.Random(3).sample(range(500), 500)
+    pairs = list(zip(order, order[1:], strict=False))
+    few = spark.createDataFrame(pairs, "a long, b long").repartition(5)
+    assert {r["root"] for r in components(few).collect()} == {0} and len(made) == 2
+    rng = random.Random(7)
+    many = [(rng.randrange(900), rng.randrange(900)) for _ in range(500)]
+    root = brute_roots(many + pairs[:200])
+    monkeypatch.setattr(comp, "TASK_EDGES", 60)
+    got = components(spark.createDataFrame(many + pairs[:200], "a long, b long").repartition(6)).collect()
+    assert len(got) == len(root) and {r["node"]: r["root"] for r in got} == root and len(made) > 4
+
+
+def brute_roots(edges):
+    root = {x: x for e in edges for x in e}
+    for a, b in edges:
+        lo, hi = sorted((root[a], root[b]))
+        root = {x: lo if r == hi else r for x, r in root.items()}
+    return root
+
+
+def test_no_side_of_a_join_goes_through_the_driver(spark):
+    """At the default threshold of broadcasts: the driver would build and keep each side."""
+    df = spark.createDataFrame([(i, f"w{i % 40} x{i % 3} y z") for i in range(200)], "doc_id long, text string")
+    for found in (simhash.near_duplicates(df, words=2), simhash.near_copies(df, words=2)):
+        found.collect()
+        assert "Broadcast" not in found._jdf.queryExecution().executedPlan().toString()
+
+
 def test_simhash_cases(spark):
     df = spark.createDataFrame([(None, "same text here"), (7, "same text here"), (7, "same text here"), (None, "alone it is, quite")], "doc_id long, text string")
     got = sorted(((r["doc_id"], r["component_id"]) for r in simhash.near_duplicates(df, words=2).collect()), key=str)
