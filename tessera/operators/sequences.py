@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tessera.operators.lineage import cut
+
 
 def _ordered(by: list[str], ord_col: str) -> Window:
     return Window.partitionBy(*by).orderBy(ord_col)
@@ -24,9 +26,13 @@ def number(df: DataFrame, by: list[str], order: list[Column | str], ord_col: str
 
 
 def with_ordinals(df: DataFrame, order: list[str], ord_col: str = "ord", partitions: int | None = None) -> DataFrame:
-    """df with places from 0 over the whole table: ranges are sorted apart, then moved by the rows before them."""
+    """df with places from 0 over the whole table: ranges are sorted apart, then moved by the rows before them.
+
+    The rows are written with the number of their range: the bounds of ranges come from a sample of the rows, and another
+    pass over them would draw another sample.
+    """
     n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.repartitionByRange(n, *order).withColumn("__part", F.spark_partition_id())
+    ranged = cut(df.repartitionByRange(n, *order).withColumn("__part", F.spark_partition_id()))
     # the counts are one row per partition
     counts = ranged.groupBy("__part").agg(F.count("*").alias("n"))
     before = counts.select("__part", (F.sum("n").over(Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1))).alias("before"))

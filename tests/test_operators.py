@@ -74,6 +74,17 @@ def test_ordinals_do_not_depend_on_partitions(spark):
     assert a == b and sorted(a.values()) == list(range(200)) and sorted(a, key=a.get) == sorted(a)
 
 
+def test_ordinals_of_more_rows_than_the_sample_of_ranges(spark):
+    rows = spark.range(20_000).select(F.pmod(F.col("id") * 7919, F.lit(20_000)).alias("v"), F.col("id").alias("other")).repartition(6)
+    name = "spark.sql.execution.rangeExchange.sampleSizePerPartition"
+    spark.conf.set(name, "4")
+    try:
+        got = sq.with_ordinals(rows, ["v"], partitions=12).collect()
+    finally:
+        spark.conf.unset(name)
+    assert len(got) == 20_000 and all(r["ord"] == r["v"] for r in got)
+
+
 def test_join_family(spark):
     names = spark.createDataFrame([(1, "one"), (2, "two"), (3, "three")], "id int, label string")
     fruit = spark.createDataFrame([("apple", 1), ("orange", 1), ("banana", 2), ("coconut", 2)], "fruit string, fid int")
