@@ -154,6 +154,12 @@ def test_files(spark, tmp_path):
     assert spark.read.json(f"{tmp_path}/log").count() == 4
 
 
+def test_calls_of_methods_of_nested_classes():
+    source = "class A:\n    class B:\n        def f(self):\n            self.g()\n            open(self)\n\n        def g(self):\n            pass\n"
+    got = sorted((c["caller"], c["enclosing"], c["text"], c["line"]) for c in pa_.calls(pa_.parse(source), "m"))
+    assert got == [("m.A.B.f", "m.A.B", "open", 5), ("m.A.B.f", "m.A.B", "self.g", 4)]
+
+
 def test_ledger(spark):
     steps = spark.createDataFrame([("a", "1"), ("b", "1"), ("c", "1")], "step string, input_hash string")
     ledger = lg.mark(spark.createDataFrame([], lg.SCHEMA), steps, "done", 1)
