@@ -190,10 +190,14 @@ _JOIN_SQL = "WITH {0} SELECT k, k2, count(*) AS n, sum(coalesce(c_custkey, -1)):
 
 
 def _outer(how: str):
+    """Each side is counted and summed by its key before they meet: a group of m and n rows meets as one row, not as m * n."""
+
     def run(spark, d):
         c, s = _sides(spark, d)
-        met = jn.join(c, s, [("k", "k2")], how, {"c_custkey": -1, "s_suppkey": -2})
-        return met.groupBy("k", "k2").agg(F.count("*").alias("n"), F.sum("c_custkey").alias("custs"), F.sum("s_suppkey").alias("supps"))
+        c = c.groupBy("k").agg(F.count("*").alias("cs"), F.sum(F.coalesce("c_custkey", F.lit(-1))).alias("custs"))
+        s = s.groupBy("k2").agg(F.count("*").alias("ss"), F.sum(F.coalesce("s_suppkey", F.lit(-2))).alias("supps"))
+        met = jn.join(c, s, [("k", "k2")], how, {"cs": 1, "custs": -1, "ss": 1, "supps": -2})
+        return met.select("k", "k2", (F.col("cs") * F.col("ss")).alias("n"), (F.col("custs") * F.col("ss")).alias("custs"), (F.col("supps") * F.col("cs")).alias("supps"))
 
     return run
 

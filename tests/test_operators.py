@@ -16,6 +16,7 @@ from tessera.operators import rules as ru
 from tessera.operators import selection as sl
 from tessera.operators import sequences as sq
 from tessera.operators import textgates as tg
+from tessera.plans import registry
 
 
 def seq(spark, values, kind="long"):
@@ -98,6 +99,29 @@ def test_join_family(spark):
     assert jn.join(n, m, [("a", "b")]).count() == 1 and jn.absent(n, m, [("a", "b")]).count() == 1 and jn.present(n, m, [("a", "b")]).count() == 1
 
 
+@pytest.mark.parametrize("how", ["inner", "left", "right", "full"])
+def test_groups_are_summed_before_they_meet(spark, tmp_path, how):
+    """m and n rows of a key are one row each when they meet; null keys meet, and missing sides count as told."""
+    c = [(i, (None if i % 5 == 0 else i % 4), 1.0 if i % 7 else -1.0) for i in range(90)]
+    s = [(i, i % 6 + 2, 3000.0 if i % 3 else 0.0) for i in range(50)]
+    spark.createDataFrame(c, "c_custkey long, c_nationkey int, c_acctbal double").write.parquet(f"{tmp_path}/customer.parquet")
+    spark.createDataFrame(s, "s_suppkey long, s_nationkey int, s_acctbal double").write.parquet(f"{tmp_path}/supplier.parquet")
+    left = [(k if b >= 0 else None, i) for i, k, b in c]
+    right = [(k if b >= 2000 else None, i) for i, k, b in s]
+    pairs = [(a, b, i, j) for a, i in left for b, j in right if a == b]
+    pairs += [(a, None, i, -2) for a, i in left if how in ("left", "full") and a not in {b for b, _ in right}]
+    pairs += [(None, b, -1, j) for b, j in right if how in ("right", "full") and b not in {a for a, _ in left}]
+    want = {(a, b): (0, 0, 0) for a, b, _, _ in pairs}
+    for a, b, i, j in pairs:
+        n, x, y = want[a, b]
+        want[a, b] = (n + 1, x + i, y + j)
+    df = registry.queries()[f"join_28_{how}_null_safe"](spark, str(tmp_path))
+    got = df.collect()
+    assert len(got) == len(want) and {(r["k"], r["k2"]): (r["n"], r["custs"], r["supps"]) for r in got} == want
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Join") < plan.index("Aggregate")
+
+
 def test_positional_diff(spark):
     a, b = seq(spark, [1, 2, 3]), seq(spark, [1, 5])
     assert [(r["ord"], r["v0"], r["v1"]) for r in jn.positional_diff([a, b], ["g"], "ord", "v").collect()] == [(1, 2, 5)]
