@@ -14,7 +14,9 @@ topological order. Parents outside the table end a walk.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.operators.lineage import cut
@@ -47,33 +49,46 @@ def ranges(commits: DataFrame, wanted: DataFrame, by: str = "repo") -> DataFrame
     """by, range, sha: the commits of each range.
 
     commits has by, sha, parents array and level; wanted has by, range, a and b (shas). A range whose b is no commit of the table is empty; an a outside the table reaches nothing.
+    Ranges and places go by numbers while they are walked. A step deals the rows of the ranges that still wait once, by
+    range, and what goes on once more, by place; ranges that are settled stay where they were written.
     """
     commits = commits.select(by, "sha", "parents", "level")
     edges = cut(parent_edges(commits, by))
     ends = wanted.select(by, F.explode(F.array("a", "b")).alias("sha")).distinct()
     of = runs(commits, edges, ends, by)
-    top = cut(of.where("sha = run").join(commits.select(by, "sha", "level"), [by, "sha"]).select(by, F.col("sha").alias("run"), "level"))
+    top = of.where("sha = run").join(commits.select(by, "sha", "level"), [by, "sha"]).select(by, F.col("sha").alias("run"), "level")
+    top = cut(top.withColumn("place", F.monotonically_increasing_id()))
+    of = cut(of.join(top, [by, "run"]).select(by, "sha", "place", "level"))
     # what leads out of a run leads from its last commit to the top of another
-    out = edges.join(of, [by, "sha"]).withColumnRenamed("run", "__from").join(of.select(by, F.col("sha").alias("parent"), "run"), [by, "parent"])
-    out = cut(out.where("__from <> run").join(top, [by, "run"]).select(by, F.col("__from").alias("run"), F.col("run").alias("__to"), F.col("level").alias("__level")).distinct())
-    begin = wanted.select(by, "range", F.explode(F.array(F.struct(F.lit(False).alias("wants"), F.col("a").alias("run")), F.struct(F.lit(True).alias("wants"), F.col("b").alias("run")))).alias("s"))
-    state = begin.select(by, "range", "s.wants", "s.run").distinct().join(top, [by, "run"]).select(by, "range", "run", "wants", "level", F.lit(True).alias("open"))
-    key = [by, "range"]
+    out = edges.join(of.select(by, "sha", F.col("place").alias("from")), [by, "sha"]).join(of.select(by, F.col("sha").alias("parent"), F.col("place").alias("to"), F.col("level").alias("to_level")), [by, "parent"])
+    out = cut(out.where("from <> to").select(F.col("from").alias("place"), "to", "to_level").distinct())
+    named = cut(wanted.select(by, "range").distinct().withColumn("no", F.monotonically_increasing_id()))
+    begin = wanted.join(named, [by, "range"]).select(by, "no", F.explode(F.array(F.struct(F.lit(True).alias("in_a"), F.col("a").alias("sha")), F.struct(F.lit(False).alias("in_a"), F.col("b").alias("sha")))).alias("s"))
+    a, b = F.col("in_a"), ~F.col("in_a")
+    state = begin.select(by, "no", "s.*").join(of, [by, "sha"]).select("no", "place", "level", a.alias("in_a"), b.alias("in_b"), a.alias("open_a"), b.alias("open_b"))
+    found = []
     while True:
-        state = cut(state)
-        # of a place that both have reached, b's row is settled: it and all that it reaches lie outside
-        lost = state.where("NOT wants").select(*key, "run", F.lit(True).alias("__lost"))
-        seen = state.join(lost, [*key, "run"], "left").withColumn("open", F.col("open") & ~(F.col("wants") & F.col("__lost").isNotNull())).drop("__lost")
-        waiting = seen.where("open AND wants")
-        if waiting.isEmpty():
+        state = cut(_step(state))
+        # of a place that both have reached, b's side is settled: it and all that it reaches lie outside
+        found.append(state.where("low IS NULL AND in_b AND NOT in_a").select("no", "place"))
+        state = state.where("low IS NOT NULL")
+        if state.isEmpty():
             break
-        limits = seen.where("open").groupBy(*key).agg(F.min(F.when(F.col("wants"), F.col("level"))).alias("__low"), F.max(F.when(~F.col("wants"), F.col("level"))).alias("__high"))
-        seen = seen.join(limits, key, "left")
-        goes = F.col("open") & F.when(F.col("wants"), F.col("__high").isNull() | (F.col("level") >= F.col("__high"))).otherwise(F.col("__low").isNotNull() & (F.col("level") > F.col("__low")))
-        # where b waits no more, a walks on for nothing
-        seen = seen.withColumn("__goes", F.coalesce(goes, F.lit(False))).withColumn("open", F.col("open") & ~F.col("__goes") & F.col("__low").isNotNull()).drop("__low", "__high")
-        new = seen.where("__goes").join(out, [by, "run"]).select(by, "range", F.col("__to").alias("run"), "wants", F.col("__level").alias("level"), F.lit(True).alias("open"))
-        both = seen.drop("__goes").unionByName(new)
-        state = both.groupBy(*key, "run", "wants").agg(F.min("level").alias("level"), F.bool_and("open").alias("open"))
-    found = seen.where("wants").join(lost, [*key, "run"], "left_anti").select(*key, "run")
-    return found.join(of, [by, "run"]).select(*key, "sha")
+        moved = state.where("goes_a OR goes_b").select("no", "place", "goes_a", "goes_b").join(out, "place")
+        moved = moved.select("no", F.col("to").alias("place"), F.col("to_level").alias("level"), F.col("goes_a").alias("in_a"), F.col("goes_b").alias("in_b"), F.col("goes_a").alias("open_a"), F.col("goes_b").alias("open_b"))
+        stay = state.select("no", "place", "level", "in_a", "in_b", (F.col("open_a") & ~F.col("goes_a")).alias("open_a"), (F.col("open_b") & ~F.col("goes_b")).alias("open_b"))
+        state = stay.unionByName(moved)
+    return reduce(DataFrame.union, found).join(of, "place").join(named, [by, "no"]).select(by, "range", "sha")
+
+
+def _step(state: DataFrame) -> DataFrame:
+    """A row for each place of a range, with what is open and what goes on; low is null where b waits no more."""
+    side = lambda x: F.coalesce(F.bool_and(F.when(F.col(f"in_{x}"), F.col(f"open_{x}"))), F.lit(False)).alias(f"open_{x}")
+    seen = state.repartition("no").groupBy("no", "place").agg(F.min("level").alias("level"), F.bool_or("in_a").alias("in_a"), F.bool_or("in_b").alias("in_b"), side("a"), side("b"))
+    seen = seen.withColumn("open_b", F.col("open_b") & ~F.col("in_a"))
+    whole = Window.partitionBy("no")
+    seen = seen.withColumn("low", F.min(F.when(F.col("open_b"), F.col("level"))).over(whole)).withColumn("high", F.max(F.when(F.col("open_a"), F.col("level"))).over(whole))
+    goes_a = F.col("open_a") & F.col("low").isNotNull() & (F.col("level") > F.col("low"))
+    goes_b = F.col("open_b") & (F.col("high").isNull() | (F.col("level") >= F.col("high")))
+    # where b waits no more, a walks on for nothing
+    return seen.withColumn("goes_a", F.coalesce(goes_a, F.lit(False))).withColumn("goes_b", F.coalesce(goes_b, F.lit(False))).drop("high")

@@ -120,3 +120,22 @@ def test_roles_and_cycles(spark):
     with pytest.raises(ValueError, match="depend on themselves: a, b"):
         steps.hashes(base, spark.createDataFrame([("a", "b", "x"), ("b", "a", "x")], INPUT))
     assert steps.hashes(base.limit(0), spark.createDataFrame([], INPUT)).count() == 0
+
+
+def test_settled_ranges_are_not_dealt_again(spark, monkeypatch):
+    """One range of many steps among many short ones: what is written grows with the ranges that still wait."""
+    rows = [("long", i, [x for x in (i - 1, i - 2) if x >= 0], i) for i in range(12)]
+    rows += [(f"r{k}", i, [i - 1] if i else [], i) for k in range(200) for i in range(3)]
+    commits = spark.createDataFrame(rows, "repo string, sha long, parents array<long>, level long")
+    wanted = spark.createDataFrame([("long", 1, 0, 11), *[(f"r{k}", 1, 0, 2) for k in range(200)]], "repo string, range long, a long, b long")
+    written = []
+
+    def counted(df, cut=ancestry.cut):
+        done = cut(df)
+        written.append(done.count())
+        return done
+
+    monkeypatch.setattr(ancestry, "cut", counted)
+    got = ancestry.ranges(commits, wanted).collect()
+    assert {(r["repo"], r["sha"]) for r in got} == {("long", i) for i in range(1, 12)} | {(f"r{k}", i) for k in range(200) for i in (1, 2)} and len(got) == 411
+    assert sum(written) < 7_000, sum(written)
