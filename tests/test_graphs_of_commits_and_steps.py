@@ -138,4 +138,4 @@ def test_settled_ranges_are_not_dealt_again(spark, monkeypatch):
     monkeypatch.setattr(ancestry, "cut", counted)
     got = ancestry.ranges(commits, wanted).collect()
     assert {(r["repo"], r["sha"]) for r in got} == {("long", i) for i in range(1, 12)} | {(f"r{k}", i) for k in range(200) for i in (1, 2)} and len(got) == 411
-    assert sum(written) < 7_000, sum(written)
+    assert sum(written) < 5_000, sum(written)
