@@ -97,6 +97,23 @@ def test_blocks_that_cannot_win_are_not_read(monkeypatch):
     assert row == 0 and sorted(d for _, d in hits) == [0, 1, 2, 3] and len(read) == 4
 
 
+def test_double_scores_are_taken_of_few_pairs(monkeypatch):
+    """Close scores are ranked in double precision, but the products of all pairs are in single precision."""
+    monkeypatch.setattr(search, "BLOCK_DOCS", 50)
+    rng = np.random.default_rng(1)
+    terms = np.arange(40)
+    docs = {bytes([i]): (1000, terms, rng.integers(1, 4, 40) if i % 2 else np.where(terms == i // 5, 2, 1), {i}) for i in range(200)}
+    weights = 5 + rng.random(40) * 1e-6
+    q = search.QueryBlock(__import__("pyarrow").table({"query_id": [0], "terms": [terms.tolist()], "weights": [weights.tolist()]}))
+    shard = search.Shard(docs, q.vocabulary, 1000.0, 8)
+    plain = [(round(float((weights * d[2] * 2.2 / (d[2] + 1.2)).sum()), 6), i) for i, d in enumerate(docs.values())]
+    read = []
+    shard.matrix = type("Seen", (), {"shape": shard.matrix.shape, "__getitem__": lambda self, at, kept=shard.matrix: read.extend(np.arange(200)[at].tolist()) or kept[at]})()
+    ((row, hits),) = shard.walk(q, 0, 1, np.zeros((1, 8)))
+    best = sorted(plain, key=lambda h: (-h[0], h[1]))[:8]
+    assert row == 0 and set(best) <= set(hits) and len(read) < 40
+
+
 def test_search_cases(spark):
     df = spark.createDataFrame([(0, "a b"), (0, "a b"), (1, "b c"), (1, "b c"), (None, "b")], "doc_id long, text string")
     rows = search.top_k(df, F.col("doc_id") == 0, 3).collect()
