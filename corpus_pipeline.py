@@ -51,7 +51,7 @@ def keep_one_of_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     stays = cut(stays.groupBy("doc_id", "digest").agg(F.count("*").alias("n")))
     told = "__tessera_digest"
     kept = docs.withColumn(told, simhash.text_digest("text"))
-    kept = kept.join(stays.select("doc_id", F.col("digest").alias(told)), ["doc_id", told], "left_semi")
+    kept = kept.join(stays.select("doc_id", F.col("digest").alias(told)).hint("merge"), ["doc_id", told], "left_semi")
     if not stays.where("n > 1").isEmpty():
         kept = kept.dropDuplicates(["doc_id", told])
     return kept.select(*[F.col(f"`{c}`") for c in docs.columns]).union(docs.where("doc_id is null"))

@@ -52,3 +52,11 @@ def test_near_copies_are_similar(spark):
     assert by_print < len(want) < len(docs)
     found = simhash.near_copies(df, block_chars=2_000)  # groups dealt over pairs of blocks
     assert {r["doc_id"] for r in found.where("doc_id = leader.doc_id").collect()} == {d for d, _ in want}
+
+
+def test_no_side_of_a_join_goes_through_the_driver(spark):
+    df = spark.createDataFrame(family(), "doc_id long, text string")
+    kept = corpus_pipeline.keep_one_of_copies(spark, df, "")
+    kept.collect()
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
